@@ -57,8 +57,8 @@ def score_profile(profile: DataFrame, method: str = "tiles", task_rows: int = TA
     The profile is stored once, because finding the cut rows reads it more than once.
     """
     scorers = {"tiles": tile_scores, "percentile": percentile_scores}
-    stored = materialize(profile, "customer_profile")
-    return scorers[method](stored, "customer_key", RFM_MEASURES, stored.count(), task_rows=task_rows)
+    stored, rows = materialize(profile, "customer_profile")
+    return scorers[method](stored, "customer_key", RFM_MEASURES, rows, task_rows=task_rows)
 
 
 def build_mart(

@@ -72,13 +72,13 @@ def quality_gate(orders: DataFrame, at: datetime) -> DataFrame:
     return summary.withColumn("passed", (F.col("bad_leaked") == 0) & (added == 1))
 
 
-def leak_report(raw: layers.Tables, names: list[str]) -> DataFrame:
+def leak_report(raw: layers.Tables) -> DataFrame:
     """Per table: keys with a rejected row, and how many of them the trusted table holds."""
     report = []
-    for name in names:
+    for name, rows in raw.items():
         table = spec.SOURCE_TABLES[name]
-        bad_keys = rejected(table.conform(raw[name]), table.rules).select(table.key).distinct()
-        trusted = layers.trusted(raw[name], table)
+        bad_keys = rejected(table.conform(rows), table.rules).select(table.key).distinct()
+        trusted = layers.trusted(rows, table)
         counts = row_counts({"bad_keys": bad_keys, "leaked": leaked(trusted, bad_keys, table.key)})
         found = figures(counts, ["bad_keys", "leaked"])
         report.append(found.select(F.lit(name).alias("table_name"), "bad_keys", "leaked"))

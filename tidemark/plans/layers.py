@@ -33,7 +33,8 @@ def trusted(
 
 
 def silver(raw: Tables, dedup_first: bool = False) -> dict[str, DataFrame]:
-    return {name: trusted(raw[name], table, dedup_first) for name, table in spec.SOURCE_TABLES.items()}
+    """The trusted table of each raw table given."""
+    return {name: trusted(rows, spec.SOURCE_TABLES[name], dedup_first) for name, rows in raw.items()}
 
 
 def gold(tables: Tables, run_ts: datetime | None = None) -> dict[str, DataFrame]:

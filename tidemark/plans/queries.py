@@ -40,25 +40,35 @@ def query(function: Query) -> Query:
     return function
 
 
-def _raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return retail.sources(spark, folder)
+def _silver(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+    return layers.silver(retail.sources(spark, folder, *names))
 
 
-def _silver(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return layers.silver(_raw(spark, folder))
+def _dim_customer(tables: layers.Tables) -> DataFrame:
+    return dimensions.dim_customer(tables["customers"], RUN_TS)
 
 
-def _gold(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return layers.gold(_silver(spark, folder), RUN_TS)
+def _fact_orders(tables: layers.Tables) -> DataFrame:
+    return facts.fact_orders(tables["orders"], tables["order_items"], _dim_customer(tables), RUN_TS)
+
+
+def _fact_order_items(spark: SparkSession, tables: layers.Tables) -> DataFrame:
+    products = dimensions.dim_product(spark, run_ts=RUN_TS)
+    return facts.fact_order_items(
+        tables["order_items"], tables["orders"], _dim_customer(tables), products, RUN_TS
+    )
 
 
 def _profile(spark: SparkSession, folder: str, keep_unknown: bool = False) -> DataFrame:
-    tables = _gold(spark, folder)
-    return mart.customer_profile(tables["fact_orders"], tables["dim_customer"], AS_OF, keep_unknown)
+    tables = _silver(spark, folder)
+    return mart.customer_profile(_fact_orders(tables), _dim_customer(tables), AS_OF, keep_unknown)
 
 
-def _mart(spark: SparkSession, folder: str) -> DataFrame:
-    return layers.mart(_gold(spark, folder), AS_OF, RUN_TS)
+def _mart(spark: SparkSession, folder: str, method: str = "tiles", keep_unknown: bool = False) -> DataFrame:
+    tables = _silver(spark, folder)
+    return mart.build_mart(
+        _fact_orders(tables), _dim_customer(tables), AS_OF, RUN_TS, method, keep_unknown
+    )
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,7 +98,7 @@ def extract_overlap(spark, folder):
 
 @query
 def extract_counts(spark, folder):
-    changed = {n: changes.changes(t, CHANGE_START, CHANGE_END) for n, t in _raw(spark, folder).items()}
+    changed = {n: changes.changes(t, CHANGE_START, CHANGE_END) for n, t in retail.sources(spark, folder).items()}
     return audit.with_total(audit.row_counts(changed))
 
 
@@ -196,7 +206,7 @@ def rejected_orders(spark, folder):
 
 @query
 def leak_check(spark, folder):
-    return checks.leak_report(_raw(spark, folder), ["orders", "customers"])
+    return checks.leak_report(retail.sources(spark, folder, "orders", "customers"))
 
 
 @query
@@ -224,17 +234,17 @@ def dedup_counts(spark, folder):
 
 @query
 def silver_orders(spark, folder):
-    return expose_money(_silver(spark, folder)["orders"])
+    return expose_money(_silver(spark, folder, "orders")["orders"])
 
 
 @query
 def silver_customers(spark, folder):
-    return _silver(spark, folder)["customers"]
+    return _silver(spark, folder, "customers")["customers"]
 
 
 @query
 def silver_order_items(spark, folder):
-    return expose_money(_silver(spark, folder)["order_items"])
+    return expose_money(_silver(spark, folder, "order_items")["order_items"])
 
 
 @query
@@ -269,7 +279,7 @@ def upsert_orders(spark, folder):
 
 @query
 def scd1_customer(spark, folder):
-    customers = _silver(spark, folder)["customers"]
+    customers = _silver(spark, folder, "customers")["customers"]
     known = customers.filter(F.col("updated_at") < F.lit(datetime(1995, 4, 1)))
     changed = customers.filter(F.col("updated_at") >= F.lit(datetime(1995, 3, 1)))
     changed = changed.withColumns({"tier": F.lit("enterprise"), "email": F.concat(F.lit("new."), F.trim("email"))})
@@ -282,7 +292,7 @@ def scd1_customer(spark, folder):
 def snapshot_counts(spark, folder):
     """Three writes of orders, one of customers, none of order items."""
     root = new_folder(spark, "snapshots")
-    tables = _silver(spark, folder)
+    tables = _silver(spark, folder, "orders", "customers")
     old, new = (tables["orders"].filter(c) for c in ("customer_id % 2 = 0", "customer_id % 2 = 1"))
     for rows in (old, new, old):
         snapshots.merge_snapshot(rows, f"{root}/orders", spec.ORDERS)
@@ -296,14 +306,14 @@ def snapshot_counts(spark, folder):
 
 @query
 def dim_customer(spark, folder):
-    return _gold(spark, folder)["dim_customer"]
+    return _dim_customer(_silver(spark, folder, "customers"))
 
 
 @query
 def dim_product(spark, folder):
     """Each generated product with the lines and units the trusted items hold for it."""
     products = dimensions.dim_product(spark, run_ts=RUN_TS)
-    sold = _silver(spark, folder)["order_items"].groupBy("product_id").agg(
+    sold = _silver(spark, folder, "order_items")["order_items"].groupBy("product_id").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("units")
     )
     return products.join(sold, "product_id", "left").select(
@@ -327,32 +337,32 @@ def dim_date_iso(spark, folder):
 
 @query
 def item_counts(spark, folder):
-    return facts.item_counts(_silver(spark, folder)["order_items"])
+    return facts.item_counts(_silver(spark, folder, "order_items")["order_items"])
 
 
 @query
 def fact_orders(spark, folder):
-    return expose_money(_gold(spark, folder)["fact_orders"])
+    return expose_money(_fact_orders(_silver(spark, folder)))
 
 
 @query
 def fact_order_items(spark, folder):
-    return expose_money(_gold(spark, folder)["fact_order_items"])
+    return expose_money(_fact_order_items(spark, _silver(spark, folder)))
 
 
 @query
 def unresolved_keys(spark, folder):
-    tables = _gold(spark, folder)
-    orders = facts.unresolved_counts(tables["fact_orders"], "fact_orders", ["customer_key"])
+    tables = _silver(spark, folder)
+    orders = facts.unresolved_counts(_fact_orders(tables), "fact_orders", ["customer_key"])
     items = facts.unresolved_counts(
-        tables["fact_order_items"], "fact_order_items", ["customer_key", "product_key"]
+        _fact_order_items(spark, tables), "fact_order_items", ["customer_key", "product_key"]
     )
     return orders.unionByName(items)
 
 
 @query
 def fact_by_calendar(spark, folder):
-    orders = _gold(spark, folder)["fact_orders"]
+    orders = _fact_orders(_silver(spark, folder))
     dates = dimensions.calendar(dimensions.date_span(retail.orders(spark, folder), "created_at"))
     return facts.by_calendar(orders, dates)
 
@@ -386,7 +396,7 @@ def rfm_mart(spark, folder):
 
 @query
 def rfm_mart_pct(spark, folder):
-    return expose_money(layers.mart(_gold(spark, folder), AS_OF, RUN_TS, "percentile", keep_unknown=True))
+    return expose_money(_mart(spark, folder, "percentile", keep_unknown=True))
 
 
 @query
@@ -409,10 +419,13 @@ def churn_distribution(spark, folder):
 
 @query
 def layer_row_counts(spark, folder):
-    tables = {f"bronze_{n}": t for n, t in _raw(spark, folder).items()}
-    tables |= {f"silver_{n}": t for n, t in _silver(spark, folder).items()}
-    gold = _gold(spark, folder)
-    tables |= {f"gold_{n}": gold[n] for n in ("dim_customer", "fact_orders", "fact_order_items")}
+    sources = retail.sources(spark, folder)
+    silver = layers.silver(sources)
+    tables = {f"bronze_{n}": t for n, t in sources.items()}
+    tables |= {f"silver_{n}": t for n, t in silver.items()}
+    tables["gold_dim_customer"] = _dim_customer(silver)
+    tables["gold_fact_orders"] = _fact_orders(silver)
+    tables["gold_fact_order_items"] = _fact_order_items(spark, silver)
     return audit.row_counts(tables)
 
 
@@ -421,5 +434,5 @@ def idempotency_check(spark, folder):
     """Source to mart as stored tables, the second half run twice."""
     house = jobs.Lakehouse(new_folder(spark, "lakehouse"))
     jobs.start_pipeline(spark, house, "retail", datetime(1995, 1, 1))
-    jobs.extract(spark, house, _raw(spark, folder), "retail", datetime(2002, 1, 1))
+    jobs.extract(spark, house, retail.sources(spark, folder), "retail", datetime(2002, 1, 1))
     return checks.idempotency(spark, house, AS_OF, RUN_TS)

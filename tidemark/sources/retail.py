@@ -9,10 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+_schemas: dict[str, StructType] = {}
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    """One test table; its schema is read from the file footer once per process."""
+    path = f"{folder}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _regions(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,5 +102,6 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
 SOURCES = {"orders": orders, "customers": customers, "order_items": order_items}
 
 
-def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: build(spark, folder) for name, build in SOURCES.items()}
+def sources(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+    """The named source tables, all of them by default."""
+    return {name: SOURCES[name](spark, folder) for name in names or SOURCES}

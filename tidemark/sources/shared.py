@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,12 +30,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Store the rows in the shared folder and read them back.
+def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Store the rows in the shared folder; the stored table and its number of rows.
 
     Unlike a cache this survives lost executors, and later passes read only the
-    columns they need.
+    columns they need. The rows are counted while they are written.
     """
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    path, written = new_folder(df.sparkSession, label), Observation()
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), written.get["rows"]
