@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def moment(at: datetime, column_type: str = "timestamp_ntz") -> Column:
+    """A naive timestamp as a literal.
+
+    It goes through its text form: a datetime literal would first be read in
+    the driver's local time zone.
+    """
+    return F.lit(at.isoformat(sep=" ")).cast(column_type)
+
+
 def date_key(ts: Column) -> Column:
     """The day of a timestamp or date as an integer yyyymmdd."""
     return F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import spec
+from tidemark.functions import moment
 from tidemark.operators.upsert import upsert
 
 
@@ -21,8 +22,8 @@ def changes(df: DataFrame, start: datetime, end: datetime, changed_at: str = "up
     The bounds are literals of the column's own type, so the filter is pushed
     into a Parquet scan or to a JDBC source.
     """
-    column_type = df.schema[changed_at].dataType
-    lower, upper = (F.lit(bound).cast(column_type) for bound in (start, end))
+    column_type = df.schema[changed_at].dataType.simpleString()
+    lower, upper = moment(start, column_type), moment(end, column_type)
     return df.filter((F.col(changed_at) > lower) & (F.col(changed_at) <= upper))
 
 

@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import spec
-from tidemark.functions import calendar_columns, clean_email, clean_name, product_category, product_label
+from tidemark.functions import calendar_columns, clean_email, clean_name, moment, product_category, product_label
 
 
 def load_time(run_ts: datetime | None) -> Column:
     """The load timestamp of a run, without time zone; the current time by default."""
-    now = F.current_timestamp() if run_ts is None else F.lit(run_ts)
-    return now.cast("timestamp_ntz")
+    return F.current_timestamp().cast("timestamp_ntz") if run_ts is None else moment(run_ts)
 
 
 def dim_customer(customers: DataFrame, run_ts: datetime | None = None) -> DataFrame:

@@ -34,9 +34,14 @@ def resolve_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def fact_orders(
     orders: DataFrame, items: DataFrame, customers: DataFrame, run_ts: datetime | None = None
 ) -> DataFrame:
-    """One row per order with customer key, date key and the number of its items."""
-    counted = resolve_customer(orders, customers).join(item_counts(items), "order_id", "left")
-    return counted.select(
+    """One row per order with customer key, date key and the number of its items.
+
+    The item counts are joined first: orders that come from a deduplication or
+    a bucketed table already lie by ``order_id``, so only the customer join
+    moves them.
+    """
+    counted = orders.join(item_counts(items), "order_id", "left")
+    return resolve_customer(counted, customers).select(
         F.col("order_id").alias("order_key"),
         "order_id",
         "customer_key",

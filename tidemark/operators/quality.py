@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Rules = Mapping[str, "str | Column"]
@@ -29,15 +29,12 @@ def _tallies(rules: Rules) -> list[Column]:
     return [F.count(F.when(broken == name, 1)).alias(name) for name in rules]
 
 
-def validate(df: DataFrame, rules: Rules, metrics: Observation | None = None) -> DataFrame:
+def validate(df: DataFrame, rules: Rules) -> DataFrame:
     """Keep the rows that pass every rule.
 
     The filter is the plain conjunction of the conditions, so Catalyst can push
-    it into the scan. With ``metrics``, the rows each rule drops are counted in
-    the same pass (under the rule's name, plus ``rows_in``).
+    it into the scan.
     """
-    if metrics is not None:
-        df = df.observe(metrics, F.count(F.lit(1)).alias("rows_in"), *_tallies(rules))
     return df.filter(reduce(Column.__and__, [_condition(r) for r in rules.values()]))
 
 
@@ -47,7 +44,12 @@ def rejected(df: DataFrame, rules: Rules, column: str = "broken_rule") -> DataFr
 
 
 def drop_counts(df: DataFrame, rules: Rules) -> DataFrame:
-    """One row per rule, in order, with the rows it drops (zero included)."""
+    """One row per rule, in order, with the rows it drops (zero included).
+
+    One pass that reads only the columns the rules name. It is a query of its
+    own and not an observation on the validated plan: map tasks that run again
+    after a lost executor would be observed twice.
+    """
     counted = df.agg(*_tallies(rules))
     rows = F.array(
         *[

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import spec
+from tidemark.functions import moment
 from tidemark.operators.audit import compare, figures, highest_key, row_counts
 from tidemark.operators.quality import leaked, rejected
 from tidemark.plans import jobs, layers
@@ -43,8 +44,8 @@ def injected_orders(orders: DataFrame, at: datetime) -> DataFrame:
                 F.lit(status).alias("status"),
                 F.lit(amount).cast("decimal(12,2)").alias("total_amount"),
                 F.lit(region).alias("region"),
-                F.lit(at).cast("timestamp_ntz").alias("created_at"),
-                F.lit(at).cast("timestamp_ntz").alias("updated_at"),
+                moment(at).alias("created_at"),
+                moment(at).alias("updated_at"),
                 F.lit(bad).alias("bad"),
             )
             for offset, customer, status, amount, region, bad in INJECTED

@@ -4,25 +4,35 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import spec
+from tidemark.functions import moment
 from tidemark.operators.changes import advance_watermark, changes, read_watermark, window_start
+from tidemark.operators.dedup import latest_by_key
+from tidemark.operators.quality import drop_counts
 from tidemark.plans import layers
-from tidemark.sources.raw import read_raw, write_batch
+from tidemark.sources.ranges import merge_ranges, read_ranges
+from tidemark.sources.raw import raw_exists, read_raw, write_batch
 from tidemark.sources.snapshots import current_version, merge_snapshot, read_snapshot, write_snapshot
 from tidemark.spec import TableSpec
 
 
 @dataclass(frozen=True)
 class Lakehouse:
-    """Where the layers of one lakehouse live, on any file system Spark can reach."""
+    """Where the layers of one lakehouse live, on any file system Spark can reach.
+
+    Tables are stored as snapshots. A large table whose keys grow with time is
+    better listed in ``key_spans`` with the number of keys per range; merging
+    then rewrites only the ranges a batch touches.
+    """
 
     root: str
+    key_spans: Mapping[str, int] = field(default_factory=dict)
 
     @property
     def raw(self) -> str:
@@ -39,6 +49,21 @@ class Lakehouse:
         return f"{self.root}/gold/{table}"
 
 
+def _merge(
+    source: DataFrame, house: Lakehouse, path: str, table: TableSpec, newer_by: str | None = None
+) -> None:
+    if table.name in house.key_spans:
+        merge_ranges(source, path, table, house.key_spans[table.name], newer_by)
+    else:
+        merge_snapshot(source, path, table, newer_by)
+
+
+def _read(spark: SparkSession, house: Lakehouse, path: str, table: TableSpec) -> DataFrame:
+    if table.name in house.key_spans:
+        return read_ranges(spark, path, table)
+    return read_snapshot(spark, path, table)
+
+
 @dataclass(frozen=True)
 class Extraction:
     """What one extract run read: its window and the rows landed per table."""
@@ -86,7 +111,7 @@ def extract(
         rows[name] = landed.get["rows"]
     moved = spark.range(1).select(
         F.lit(pipeline).alias("pipeline_name"),
-        F.lit(batch_end).cast("timestamp_ntz").alias("last_watermark"),
+        moment(batch_end).alias("last_watermark"),
         F.current_timestamp().cast("timestamp_ntz").alias("last_run_at"),
     )
     write_snapshot(advance_watermark(control, moved), house.control)
@@ -94,24 +119,32 @@ def extract(
 
 
 def update_silver(
-    spark: SparkSession, house: Lakehouse, raw: Mapping[str, DataFrame] | None = None, dedup_first: bool = False
+    spark: SparkSession, house: Lakehouse, after: str | None = None, dedup_first: bool = False
 ) -> dict[str, dict[str, int]]:
-    """Merge the raw layer (or the given rows) into the trusted tables; rows dropped per table and rule."""
+    """Merge the raw layer into the trusted tables; rows dropped per table and rule.
+
+    With ``after``, a batch label, only later batches are read: the others'
+    folders are pruned. Such a run may see rows older than the trusted ones, so
+    newer trusted rows are kept.
+    """
     dropped = {}
     for name, table in spec.SOURCE_TABLES.items():
-        rows = read_raw(spark, house.raw, table) if raw is None else raw[name]
-        metrics = Observation()
-        merge_snapshot(layers.trusted(rows, table, dedup_first, metrics), house.silver(name), table)
-        dropped[name] = metrics.get
+        if not raw_exists(spark, house.raw, table):
+            continue
+        rows = read_raw(spark, house.raw, table, after=after)
+        valid = layers.trusted(rows, table, dedup_first)
+        _merge(valid, house, house.silver(name), table, None if after is None else table.changed_at)
+        checked = latest_by_key(rows, table.key, table.changed_at) if dedup_first else rows
+        dropped[name] = {r["rule"]: r["dropped"] for r in drop_counts(checked, table.rules).collect()}
     return dropped
 
 
 def silver_tables(spark: SparkSession, house: Lakehouse) -> dict[str, DataFrame]:
-    return {n: read_snapshot(spark, house.silver(n), t) for n, t in spec.SOURCE_TABLES.items()}
+    return {n: _read(spark, house, house.silver(n), t) for n, t in spec.SOURCE_TABLES.items()}
 
 
 def gold_tables(spark: SparkSession, house: Lakehouse) -> dict[str, DataFrame]:
-    return {n: read_snapshot(spark, house.gold(n), t) for n, t in spec.GOLD_TABLES.items()}
+    return {n: _read(spark, house, house.gold(n), t) for n, t in spec.GOLD_TABLES.items()}
 
 
 def update_gold(spark: SparkSession, house: Lakehouse, run_ts: datetime | None = None) -> None:
@@ -119,7 +152,7 @@ def update_gold(spark: SparkSession, house: Lakehouse, run_ts: datetime | None =
     tables = silver_tables(spark, house)
     built = layers.gold(tables, run_ts)
     for name in ("dim_customer", "dim_product", "dim_date"):
-        merge_snapshot(built[name], house.gold(name), spec.GOLD_TABLES[name])
+        _merge(built[name], house, house.gold(name), spec.GOLD_TABLES[name])
     stored = gold_tables(spark, house)
     facts = {
         "fact_orders": layers.fact_orders(tables["orders"], tables["order_items"], stored["dim_customer"], run_ts),
@@ -128,7 +161,7 @@ def update_gold(spark: SparkSession, house: Lakehouse, run_ts: datetime | None =
         ),
     }
     for name, fact in facts.items():
-        merge_snapshot(fact, house.gold(name), spec.GOLD_TABLES[name])
+        _merge(fact, house, house.gold(name), spec.GOLD_TABLES[name])
 
 
 def rebuild_mart(
@@ -145,7 +178,7 @@ def result_tables() -> dict[str, TableSpec]:
 
 
 def results(spark: SparkSession, house: Lakehouse) -> dict[str, DataFrame]:
-    return {name: read_snapshot(spark, house.gold(name), table) for name, table in result_tables().items()}
+    return {name: _read(spark, house, house.gold(name), table) for name, table in result_tables().items()}
 
 
 def result_versions(spark: SparkSession, house: Lakehouse) -> dict[str, int]:

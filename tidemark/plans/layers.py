@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 
 from tidemark import spec
 from tidemark.operators.dedup import latest_by_key
@@ -18,9 +18,7 @@ from tidemark.spec import TableSpec
 Tables = Mapping[str, DataFrame]
 
 
-def trusted(
-    raw: DataFrame, table: TableSpec, dedup_first: bool = False, metrics: Observation | None = None
-) -> DataFrame:
+def trusted(raw: DataFrame, table: TableSpec, dedup_first: bool = False) -> DataFrame:
     """Valid rows, the latest per key.
 
     By default a key whose newest row is invalid falls back to its newest valid
@@ -28,8 +26,8 @@ def trusted(
     """
     rows = table.conform(raw)
     if dedup_first:
-        return validate(latest_by_key(rows, table.key, table.changed_at), table.rules, metrics)
-    return latest_by_key(validate(rows, table.rules, metrics), table.key, table.changed_at)
+        return validate(latest_by_key(rows, table.key, table.changed_at), table.rules)
+    return latest_by_key(validate(rows, table.rules), table.key, table.changed_at)
 
 
 def silver(raw: Tables, dedup_first: bool = False) -> dict[str, DataFrame]:

@@ -377,6 +377,7 @@ QUERIES = {
               UNION ALL SELECT 'fact_orders', count(*) FROM f_orders
               UNION ALL SELECT 'customer_mart', count(*) FROM mart)""",
 }
+QUERIES["upsert_key_ranges"] = QUERIES["upsert_orders"]
 QUERIES["batch_concat"] = QUERIES["bronze_union_batches"]
 
 

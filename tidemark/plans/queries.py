@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import spec
-from tidemark.functions import expose_money
+from tidemark.functions import expose_money, moment
 from tidemark.operators import audit, changes, dedup, dimensions, facts, mart, quality
 from tidemark.operators.ranking import RFM_MEASURES
 from tidemark.operators.upsert import upsert
 from tidemark.plans import checks, jobs, layers
-from tidemark.sources import raw, retail, snapshots
+from tidemark.sources import ranges, raw, retail, snapshots
 from tidemark.sources.shared import new_folder
 from tidemark.streaming.pickup import pick_up
 
@@ -112,7 +112,7 @@ def _control(events: DataFrame) -> DataFrame:
     seen = _first_batch(events).groupBy(F.col("event_type").alias("pipeline_name"))
     return spec.CONTROL.conform(
         seen.agg(F.max("ts").alias("last_watermark")).withColumns(
-            {"last_run_at": F.lit(FIRST_END), "status": F.lit("new")}
+            {"last_run_at": moment(FIRST_END), "status": F.lit("new")}
         )
     )
 
@@ -129,8 +129,8 @@ def watermark_advance(spark, folder):
     finished = _second_batch(events).filter(F.col("value") > 0).select("event_type").distinct()
     moved = finished.filter(F.col("event_type") != "error").select(
         F.col("event_type").alias("pipeline_name"),
-        F.lit(SECOND_END).alias("last_watermark"),
-        F.lit(SECOND_END).alias("last_run_at"),
+        moment(SECOND_END).alias("last_watermark"),
+        moment(SECOND_END).alias("last_run_at"),
     )
     return changes.advance_watermark(_control(events), moved)
 
@@ -269,19 +269,34 @@ def stream_pickup(spark, folder):
 # Upsert ---------------------------------------------------------------------------
 
 
+def _upsert_batches(spark, folder):
+    orders = quality.validate(retail.orders(spark, folder), spec.ORDERS.rules)
+    target = orders.filter(F.col("updated_at") < moment(datetime(2000, 1, 1)))
+    source = orders.filter(F.col("updated_at") >= moment(datetime(1999, 7, 1)))
+    return target, source.withColumn("status", F.lit("delivered"))
+
+
 @query
 def upsert_orders(spark, folder):
-    orders = quality.validate(retail.orders(spark, folder), spec.ORDERS.rules)
-    target = orders.filter(F.col("updated_at") < F.lit(datetime(2000, 1, 1)))
-    source = orders.filter(F.col("updated_at") >= F.lit(datetime(1999, 7, 1)))
-    return expose_money(upsert(target, source.withColumn("status", F.lit("delivered")), "order_id"))
+    return expose_money(upsert(*_upsert_batches(spark, folder), "order_id"))
+
+
+@query
+def upsert_key_ranges(spark, folder):
+    """The same upsert, on a stored table split into sixteen key ranges."""
+    path = new_folder(spark, "ranges")
+    target, source = _upsert_batches(spark, folder)
+    highest = audit.highest_key(retail.load(spark, folder, "orders"), "o_orderkey").first()[0]
+    for rows in (target, source):
+        ranges.merge_ranges(rows, path, spec.ORDERS, span=highest // 16 + 1)
+    return expose_money(ranges.read_ranges(spark, path, spec.ORDERS))
 
 
 @query
 def scd1_customer(spark, folder):
     customers = _silver(spark, folder, "customers")["customers"]
-    known = customers.filter(F.col("updated_at") < F.lit(datetime(1995, 4, 1)))
-    changed = customers.filter(F.col("updated_at") >= F.lit(datetime(1995, 3, 1)))
+    known = customers.filter(F.col("updated_at") < moment(datetime(1995, 4, 1)))
+    changed = customers.filter(F.col("updated_at") >= moment(datetime(1995, 3, 1)))
     changed = changed.withColumns({"tier": F.lit("enterprise"), "email": F.concat(F.lit("new."), F.trim("email"))})
     return upsert(
         dimensions.dim_customer(known, FIRST_END), dimensions.dim_customer(changed, SECOND_END), "customer_key"

@@ -16,9 +16,11 @@ def use_schema(spark: SparkSession, schema: str, catalog: str | None = None) ->
 
 
 def register_parquet(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Register Parquet files as an external table, unless the name is taken."""
+    """Register Parquet files as an external table with the partitions found there, unless the name is taken."""
     if not spark.catalog.tableExists(name):
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` USING PARQUET OPTIONS (path '{path}')")
+        if any(column.isPartition for column in spark.catalog.listColumns(name)):
+            spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.sources.shared import exists
 from tidemark.spec import TableSpec
 
 PARTITIONS = "year STRING, month STRING, day STRING, batch STRING"
@@ -34,19 +35,25 @@ def write_batch(df: DataFrame, root: str, table: str, batch_end: datetime) -> st
     return path
 
 
+def raw_exists(spark: SparkSession, root: str, table: TableSpec) -> bool:
+    """Whether any batch of the table has landed."""
+    return exists(spark, f"{root}/{table.name}")
+
+
 def read_raw(
     spark: SparkSession,
     root: str,
     table: TableSpec | str,
     with_partitions: bool = False,
     merge_schema: bool = False,
+    after: str | None = None,
 ) -> DataFrame:
     """All batches of a table, columns matched by name.
 
     With a ``TableSpec`` the contract is the read schema: nothing is inferred,
     columns a batch lacks are null. With a name the schema is inferred;
     ``merge_schema`` unites the columns of all batches. Partition columns are
-    strings.
+    strings. ``after`` keeps the batches with a later label and reads no others.
     """
     name = table if isinstance(table, str) else table.name
     reader = spark.read.option("basePath", f"{root}/{name}")
@@ -57,6 +64,8 @@ def read_raw(
     df = reader.parquet(f"{root}/{name}")
     if not isinstance(table, TableSpec):
         df = df.withColumns({**_padded(df), "batch": F.col("batch").cast("string")})
+    if after is not None:
+        df = df.filter(F.col("batch") > after)
     return df if with_partitions else df.drop(*PARTITION_COLUMNS)
 
 

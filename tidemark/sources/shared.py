@@ -5,8 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,17 +24,39 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as its type."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder finished."""
+    files, marker = filesystem(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, folder = filesystem(spark, path)
+    return files.exists(folder)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, folder = filesystem(spark, path)
+    files.delete(folder, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """Store the rows in the shared folder; the stored table and its number of rows.
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Store the rows in the shared folder and read them back.
 
     Unlike a cache this survives lost executors, and later passes read only the
-    columns they need. The rows are counted while they are written.
+    columns they need.
     """
-    path, written = new_folder(df.sparkSession, label), Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), written.get["rows"]
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

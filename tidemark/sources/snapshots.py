@@ -6,20 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.upsert import upsert
+from tidemark.sources.shared import filesystem
 from tidemark.spec import TableSpec
 
 MISSING = -1
 
 
-def _filesystem(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Version numbers of the complete snapshots, oldest first."""
-    filesystem, folder = _filesystem(spark, f"{path}/version=*/_SUCCESS")
-    markers = filesystem.globStatus(folder) or []
+    files, pattern = filesystem(spark, f"{path}/version=*/_SUCCESS")
+    markers = files.globStatus(pattern) or []
     return sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in markers)
 
 
