@@ -238,7 +238,7 @@ def test_hot_customer_is_split(spark, folder):
 
 def test_materialize_uses_the_shared_folder(spark):
     stored = materialize(pairs(spark, (1, "a", 1), (2, "b", 1)), "pairs")
-    assert all(f.startswith("file:" + shared_dir(spark)) for f in stored.inputFiles())
+    assert all(shared_dir(spark) in f for f in stored.inputFiles())
     assert content(stored) == [(1, "a"), (2, "b")]
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
 

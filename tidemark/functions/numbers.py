@@ -18,7 +18,8 @@ def as_cents(amount: Column) -> Column:
 
 
 def from_cents(cents: Column) -> Column:
-    return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(20,2)")
+    """Cents as a decimal of 18 digits, the most that are compared as a single long."""
+    return (cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
 
 
 def _half_up(top: Column, bottom: Column) -> Column:

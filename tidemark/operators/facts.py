@@ -85,7 +85,7 @@ def fact_order_items(
         date_key(F.col("created_at")).alias("date_key"),
         "quantity",
         "unit_price",
-        from_cents(line_cents).cast("decimal(22,2)").alias("line_total"),
+        from_cents(line_cents).alias("line_total"),
         "created_at",
         load_time(run_ts).alias("dw_inserted_at"),
     )

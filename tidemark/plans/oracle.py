@@ -104,7 +104,7 @@ BLOCKS = {
     "calendar_days": """
         SELECT CAST(unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi)
                + INTERVAL 1 YEAR - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d
-        FROM (SELECT min(created_at) AS lo, max(created_at) AS hi FROM src_orders)""",
+        FROM (SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders)""",
     "d_date": """
         SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
           CAST(day(d) AS INTEGER) AS day_of_month, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week,
@@ -327,7 +327,7 @@ QUERIES = {
           isodow(d) >= 6 AS is_weekend, isodow(d) < 6 AS is_weekday
         FROM (SELECT CAST(unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi)
               + INTERVAL 1 YEAR - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d
-              FROM (SELECT min(created_at) AS lo, max(created_at) AS hi FROM src_items))""",
+              FROM (SELECT min(l_shipdate) AS lo, max(l_shipdate) AS hi FROM lineitem))""",
     "item_counts": "SELECT * FROM n_items",
     "fact_orders": "SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM f_orders",
     "fact_order_items": "SELECT * FROM f_items",

@@ -338,15 +338,19 @@ def dim_product(spark, folder):
     )
 
 
+def _order_calendar(spark, folder):
+    """Calendar over the whole years the order dates span."""
+    return dimensions.calendar(dimensions.date_span(retail.load(spark, folder, "orders"), "o_orderdate"))
+
+
 @query
 def dim_date(spark, folder):
-    """Calendar over the whole years the order dates span."""
-    return dimensions.calendar(dimensions.date_span(retail.orders(spark, folder), "created_at"))
+    return _order_calendar(spark, folder)
 
 
 @query
 def dim_date_iso(spark, folder):
-    span = dimensions.date_span(retail.order_items(spark, folder), "created_at")
+    span = dimensions.date_span(retail.load(spark, folder, "lineitem"), "l_shipdate")
     return dimensions.calendar(span, iso_weekday=True)
 
 
@@ -378,8 +382,7 @@ def unresolved_keys(spark, folder):
 @query
 def fact_by_calendar(spark, folder):
     orders = _fact_orders(_silver(spark, folder))
-    dates = dimensions.calendar(dimensions.date_span(retail.orders(spark, folder), "created_at"))
-    return facts.by_calendar(orders, dates)
+    return facts.by_calendar(orders, _order_calendar(spark, folder))
 
 
 # Mart -------------------------------------------------------------------------------------

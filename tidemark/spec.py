@@ -158,7 +158,7 @@ FACT_ORDER_ITEMS = TableSpec(
     key="item_key",
     ddl="item_key BIGINT, item_id BIGINT, order_id BIGINT, customer_key BIGINT, "
     "product_key BIGINT, date_key INT, quantity INT, unit_price DECIMAL(12,2), "
-    "line_total DECIMAL(22,2), created_at TIMESTAMP_NTZ, dw_inserted_at TIMESTAMP_NTZ",
+    "line_total DECIMAL(18,2), created_at TIMESTAMP_NTZ, dw_inserted_at TIMESTAMP_NTZ",
     changed_at="dw_inserted_at",
 )
 
@@ -167,8 +167,8 @@ MART = TableSpec(
     key="customer_key",
     ddl="customer_key BIGINT, customer_id BIGINT, name STRING, email STRING, region STRING, "
     "tier STRING, first_order_date TIMESTAMP_NTZ, last_order_date TIMESTAMP_NTZ, "
-    "recency_days INT, total_orders BIGINT, total_spent DECIMAL(20,2), "
-    "avg_order_value DECIMAL(20,2), total_items BIGINT, r_score INT, f_score INT, m_score INT, "
+    "recency_days INT, total_orders BIGINT, total_spent DECIMAL(18,2), "
+    "avg_order_value DECIMAL(18,2), total_items BIGINT, r_score INT, f_score INT, m_score INT, "
     "rfm_score STRING, rfm_segment STRING, churn_risk STRING, pipeline_updated_at TIMESTAMP_NTZ",
     changed_at="pipeline_updated_at",
 )
