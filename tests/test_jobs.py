@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tidemark import spec
 from tidemark.operators.audit import compare, differing_rows, extract_reduction, row_counts, with_total
 from tidemark.operators.changes import UnknownPipeline, changes, read_watermark, window_start
-from tidemark.operators.dimensions import dim_customer
+from tidemark.operators.dimensions import dim_customer, dim_product
 from tidemark.operators.facts import fact_order_items, fact_orders
 from tidemark.operators.mart import customer_profile, distribution, mart_metrics
 from tidemark.plans import checks, jobs
-from tidemark.plans.jobs import Lakehouse
+from tidemark.plans.jobs import Lakehouse, read_table
+from tidemark.plans.layers import trusted
 from tidemark.sources import retail
 from tidemark.sources.raw import read_raw, write_batch
 from tidemark.sources.snapshots import read_snapshot
@@ -129,21 +130,19 @@ def test_quality_gate(spark, small):
     assert gate["passed"]
 
 
-def test_stream_keeps_up_and_ignores_older_rows(spark, folder, small):
-    tables = retail.sources(spark, small)
-    raw_root, path = f"{folder}/raw", f"{folder}/orders"
+@pytest.mark.parametrize("key_spans", [{}, {"orders": 400}])
+def test_stream_keeps_up_and_ignores_older_rows(spark, folder, small, key_spans):
+    tables, house = retail.sources(spark, small), Lakehouse(folder, key_spans)
 
     def drain():
-        pick_up(spark, raw_root, spec.ORDERS, path, f"{folder}/progress", files_per_batch=1).awaitTermination()
-        return read_snapshot(spark, path, spec.ORDERS)
+        pick_up(spark, house, spec.ORDERS, files_per_batch=1).awaitTermination()
+        return read_table(spark, house, house.silver("orders"), spec.ORDERS)
 
-    write_batch(late_batch(tables), raw_root, "orders", datetime(2002, 7, 1))
+    write_batch(late_batch(tables), house.raw, "orders", datetime(2002, 7, 1))
     assert drain().filter("status <> 'delivered'").isEmpty()
-    write_batch(tables["orders"], raw_root, "orders", datetime(2002, 7, 2))  # older versions arrive late
+    write_batch(tables["orders"], house.raw, "orders", datetime(2002, 7, 2))  # older versions arrive late
     merged = drain()
     both = tables["orders"].unionByName(late_batch(tables))
-    from tidemark.plans.layers import trusted
-
     assert differing_rows(merged, trusted(both, spec.ORDERS)).isEmpty()
     before = merged.count()
     assert drain().count() == before  # nothing new: nothing to do
@@ -170,8 +169,6 @@ def facts(spark):
 
 
 def test_facts_use_the_unknown_member(spark):
-    from tidemark.operators.dimensions import dim_product
-
     orders, items, customers = facts(spark)
     rows = {r["order_key"]: r for r in fact_orders(orders, items, customers).collect()}
     assert {k: (r["customer_key"], r["item_count"]) for k, r in rows.items()} == {

@@ -40,6 +40,16 @@ def test_null_keys_match_nothing(spark):
     assert content(upsert(target, source, "k")) == [(1, "d"), (None, "a"), (None, "b"), (None, "c")]
 
 
+def test_rows_without_a_key_are_not_shuffled(spark, folder):
+    for name in ("target", "source"):
+        pairs(spark, (None, "a", 1), (1, "b", 1)).write.parquet(f"{folder}/{name}")
+    target, source = (spark.read.parquet(f"{folder}/{n}") for n in ("target", "source"))
+    assert content(upsert(target, source, "k")) == [(1, "b"), (None, "a"), (None, "a")]
+    plan = upsert(target, source, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Filter isnull(k") == 2
+    assert content(upsert(target, source, "k", nullable_key=False)) == content(upsert(target, source, "k"))
+
+
 def test_repeated_source_key_fails(spark):
     source = pairs(spark, (1, "a", 1), (1, "b", 1))
     with pytest.raises(PySparkException, match="repeated k: 1"):

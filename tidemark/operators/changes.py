@@ -51,4 +51,4 @@ def advance_watermark(control: DataFrame, moved: DataFrame) -> DataFrame:
     ``moved`` has ``pipeline_name``, ``last_watermark`` and ``last_run_at``.
     """
     done = spec.CONTROL.conform(moved.withColumn("status", F.lit("success")))
-    return upsert(control, done, spec.CONTROL.key)
+    return upsert(control, done, spec.CONTROL.key, nullable_key=False)

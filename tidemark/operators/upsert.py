@@ -24,16 +24,24 @@ def upsert(
     key: str,
     newer_by: str | None = None,
     check_unique: bool = True,
+    nullable_key: bool = True,
 ) -> DataFrame:
     """The target after merging ``source`` into it by ``key``.
 
-    Null keys match nothing. With ``newer_by``, a target row that is newer than
+    Null keys match nothing: such rows of both sides pass by the join, however
+    many there are. Tables whose rules exclude null keys can set
+    ``nullable_key=False`` and save that second look at the rows. With ``newer_by``, a target row that is newer than
     its source row is kept, which makes replayed batches harmless. Set
     ``check_unique=False`` only for a source already reduced to one row per key.
     """
     if set(target.columns) != set(source.columns):
         raise ValueError(f"upsert columns differ: {target.columns} vs {source.columns}")
     source = source.select(*target.columns)
+    if nullable_key:
+        keyless = F.col(key).isNull()
+        passing = target.filter(keyless).unionByName(source.filter(keyless))
+        keyed = upsert(target.filter(~keyless), source.filter(~keyless), key, newer_by, check_unique, False)
+        return keyed.unionByName(passing)
     if check_unique:
         source = _once_per_key(source, key)
     if newer_by is not None:

@@ -14,8 +14,11 @@ from tidemark import spec
 from tidemark.functions import moment
 from tidemark.operators.changes import advance_watermark, changes, read_watermark, window_start
 from tidemark.operators.dedup import latest_by_key
+from tidemark.operators.dimensions import dim_customer, dim_date, dim_product
+from tidemark.operators.facts import fact_order_items, fact_orders
+from tidemark.operators.mart import build_mart
 from tidemark.operators.quality import drop_counts
-from tidemark.plans import layers
+from tidemark.plans.layers import trusted
 from tidemark.sources.ranges import merge_ranges, read_ranges
 from tidemark.sources.raw import raw_exists, read_raw, write_batch
 from tidemark.sources.snapshots import current_version, merge_snapshot, read_snapshot, write_snapshot
@@ -42,6 +45,9 @@ class Lakehouse:
     def control(self) -> str:
         return f"{self.root}/control"
 
+    def progress(self, table: str) -> str:
+        return f"{self.root}/progress/{table}"
+
     def silver(self, table: str) -> str:
         return f"{self.root}/silver/{table}"
 
@@ -49,16 +55,17 @@ class Lakehouse:
         return f"{self.root}/gold/{table}"
 
 
-def _merge(
+def merge_table(
     source: DataFrame, house: Lakehouse, path: str, table: TableSpec, newer_by: str | None = None
 ) -> None:
+    """Upsert the rows into a stored table, by range or as a new snapshot."""
     if table.name in house.key_spans:
         merge_ranges(source, path, table, house.key_spans[table.name], newer_by)
     else:
         merge_snapshot(source, path, table, newer_by)
 
 
-def _read(spark: SparkSession, house: Lakehouse, path: str, table: TableSpec) -> DataFrame:
+def read_table(spark: SparkSession, house: Lakehouse, path: str, table: TableSpec) -> DataFrame:
     if table.name in house.key_spans:
         return read_ranges(spark, path, table)
     return read_snapshot(spark, path, table)
@@ -132,43 +139,48 @@ def update_silver(
         if not raw_exists(spark, house.raw, table):
             continue
         rows = read_raw(spark, house.raw, table, after=after)
-        valid = layers.trusted(rows, table, dedup_first)
-        _merge(valid, house, house.silver(name), table, None if after is None else table.changed_at)
+        valid = trusted(rows, table, dedup_first)
+        merge_table(valid, house, house.silver(name), table, None if after is None else table.changed_at)
         checked = latest_by_key(rows, table.key, table.changed_at) if dedup_first else rows
         dropped[name] = {r["rule"]: r["dropped"] for r in drop_counts(checked, table.rules).collect()}
     return dropped
 
 
 def silver_tables(spark: SparkSession, house: Lakehouse) -> dict[str, DataFrame]:
-    return {n: _read(spark, house, house.silver(n), t) for n, t in spec.SOURCE_TABLES.items()}
+    return {n: read_table(spark, house, house.silver(n), t) for n, t in spec.SOURCE_TABLES.items()}
 
 
 def gold_tables(spark: SparkSession, house: Lakehouse) -> dict[str, DataFrame]:
-    return {n: _read(spark, house, house.gold(n), t) for n, t in spec.GOLD_TABLES.items()}
+    return {n: read_table(spark, house, house.gold(n), t) for n, t in spec.GOLD_TABLES.items()}
 
 
 def update_gold(spark: SparkSession, house: Lakehouse, run_ts: datetime | None = None) -> None:
     """Merge dimensions, then facts; facts are built on the stored dimensions."""
     tables = silver_tables(spark, house)
-    built = layers.gold(tables, run_ts)
-    for name in ("dim_customer", "dim_product", "dim_date"):
-        _merge(built[name], house, house.gold(name), spec.GOLD_TABLES[name])
+    dimensions = {
+        "dim_customer": dim_customer(tables["customers"], run_ts),
+        "dim_product": dim_product(spark, run_ts=run_ts),
+        "dim_date": dim_date(spark),
+    }
+    for name, dimension in dimensions.items():
+        merge_table(dimension, house, house.gold(name), spec.GOLD_TABLES[name])
     stored = gold_tables(spark, house)
     facts = {
-        "fact_orders": layers.fact_orders(tables["orders"], tables["order_items"], stored["dim_customer"], run_ts),
-        "fact_order_items": layers.fact_order_items(
+        "fact_orders": fact_orders(tables["orders"], tables["order_items"], stored["dim_customer"], run_ts),
+        "fact_order_items": fact_order_items(
             tables["order_items"], tables["orders"], stored["dim_customer"], stored["dim_product"], run_ts
         ),
     }
     for name, fact in facts.items():
-        _merge(fact, house, house.gold(name), spec.GOLD_TABLES[name])
+        merge_table(fact, house, house.gold(name), spec.GOLD_TABLES[name])
 
 
 def rebuild_mart(
     spark: SparkSession, house: Lakehouse, as_of: date, run_ts: datetime | None = None, method: str = "tiles"
 ) -> int:
     """Replace the mart with a new complete snapshot; its version."""
-    mart = layers.mart(gold_tables(spark, house), as_of, run_ts, method)
+    tables = gold_tables(spark, house)
+    mart = build_mart(tables["fact_orders"], tables["dim_customer"], as_of, run_ts, method)
     return write_snapshot(mart, house.gold(spec.MART.name))
 
 
@@ -178,7 +190,7 @@ def result_tables() -> dict[str, TableSpec]:
 
 
 def results(spark: SparkSession, house: Lakehouse) -> dict[str, DataFrame]:
-    return {name: _read(spark, house, house.gold(name), table) for name, table in result_tables().items()}
+    return {name: read_table(spark, house, house.gold(name), table) for name, table in result_tables().items()}
 
 
 def result_versions(spark: SparkSession, house: Lakehouse) -> dict[str, int]:

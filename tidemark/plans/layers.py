@@ -1,17 +1,12 @@
-"""The layers as DataFrames: nothing runs until a result is asked for."""
+"""The trusted layer as DataFrames: nothing runs until a result is asked for."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date, datetime
-
 from pyspark.sql import DataFrame
 
 from tidemark import spec
 from tidemark.operators.dedup import latest_by_key
-from tidemark.operators.dimensions import dim_customer, dim_date, dim_product
-from tidemark.operators.facts import fact_order_items, fact_orders
-from tidemark.operators.mart import build_mart
 from tidemark.operators.quality import validate
 from tidemark.spec import TableSpec
 
@@ -33,25 +28,3 @@ def trusted(raw: DataFrame, table: TableSpec, dedup_first: bool = False) -> Data
 def silver(raw: Tables, dedup_first: bool = False) -> dict[str, DataFrame]:
     """The trusted table of each raw table given."""
     return {name: trusted(rows, spec.SOURCE_TABLES[name], dedup_first) for name, rows in raw.items()}
-
-
-def gold(tables: Tables, run_ts: datetime | None = None) -> dict[str, DataFrame]:
-    """Star schema over the trusted tables."""
-    spark = tables["orders"].sparkSession
-    customers = dim_customer(tables["customers"], run_ts)
-    products = dim_product(spark, run_ts=run_ts)
-    return {
-        "dim_customer": customers,
-        "dim_product": products,
-        "dim_date": dim_date(spark),
-        "fact_orders": fact_orders(tables["orders"], tables["order_items"], customers, run_ts),
-        "fact_order_items": fact_order_items(
-            tables["order_items"], tables["orders"], customers, products, run_ts
-        ),
-    }
-
-
-def mart(
-    tables: Tables, as_of: date, run_ts: datetime | None = None, method: str = "tiles", keep_unknown: bool = False
-) -> DataFrame:
-    return build_mart(tables["fact_orders"], tables["dim_customer"], as_of, run_ts, method, keep_unknown)

@@ -256,14 +256,14 @@ def silver_items_dedup_first(spark, folder):
 @query
 def stream_pickup(spark, folder):
     """Orders landed in two batches and picked up by the stream, the second with changed statuses."""
-    root = new_folder(spark, "stream")
+    house = jobs.Lakehouse(new_folder(spark, "stream"))
     first = retail.orders(spark, folder)
     late = changes.changes(first, CHANGE_START, CHANGE_END).withColumn("status", F.lit("delivered"))
     late = late.withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 1 DAY"))
     for rows, end in ((first, CHANGE_START), (late, CHANGE_END)):
-        raw.write_batch(rows, f"{root}/raw", "orders", end)
-        pick_up(spark, f"{root}/raw", spec.ORDERS, f"{root}/orders", f"{root}/progress").awaitTermination()
-    return expose_money(snapshots.read_snapshot(spark, f"{root}/orders", spec.ORDERS))
+        raw.write_batch(rows, house.raw, "orders", end)
+        pick_up(spark, house, spec.ORDERS).awaitTermination()
+    return expose_money(jobs.read_table(spark, house, house.silver("orders"), spec.ORDERS))
 
 
 # Upsert ---------------------------------------------------------------------------
@@ -278,7 +278,7 @@ def _upsert_batches(spark, folder):
 
 @query
 def upsert_orders(spark, folder):
-    return expose_money(upsert(*_upsert_batches(spark, folder), "order_id"))
+    return expose_money(upsert(*_upsert_batches(spark, folder), "order_id", nullable_key=False))
 
 
 @query
@@ -299,7 +299,10 @@ def scd1_customer(spark, folder):
     changed = customers.filter(F.col("updated_at") >= moment(datetime(1995, 3, 1)))
     changed = changed.withColumns({"tier": F.lit("enterprise"), "email": F.concat(F.lit("new."), F.trim("email"))})
     return upsert(
-        dimensions.dim_customer(known, FIRST_END), dimensions.dim_customer(changed, SECOND_END), "customer_key"
+        dimensions.dim_customer(known, FIRST_END),
+        dimensions.dim_customer(changed, SECOND_END),
+        "customer_key",
+        nullable_key=False,
     )
 
 

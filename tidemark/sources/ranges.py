@@ -76,7 +76,7 @@ def merge_ranges(
     if exists(spark, path):
         touched = [row[RANGE] for row in stored.select(RANGE).distinct().collect()]
         target = spark.read.schema(_schema(table)).parquet(path).filter(F.col(RANGE).isin(touched))
-        merged = upsert(target, stored, table.key, newer_by)
+        merged = upsert(target, stored, table.key, newer_by, nullable_key=False)
     # Rebalancing gives each range few files, and splits a range too large for one task.
     merged.hint("rebalance", RANGE).write.mode("overwrite").partitionBy(RANGE).parquet(_staged(path))
     _publish(spark, path, table)

@@ -51,7 +51,8 @@ def merge_snapshot(
     source = table.conform(source)
     if current_version(spark, path) == MISSING:
         return write_snapshot(source, path)
-    return write_snapshot(upsert(read_snapshot(spark, path, table), source, table.key, newer_by), path)
+    target = read_snapshot(spark, path, table)
+    return write_snapshot(upsert(target, source, table.key, newer_by, nullable_key=False), path)
 
 
 def snapshot_state(spark: SparkSession, path: str, table: TableSpec) -> DataFrame:

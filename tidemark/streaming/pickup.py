@@ -6,21 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidemark.plans.jobs import Lakehouse, merge_table
 from tidemark.plans.layers import trusted
 from tidemark.sources.raw import PARTITION_COLUMNS, PARTITIONS
-from tidemark.sources.snapshots import merge_snapshot
 from tidemark.spec import TableSpec
 
 
 def pick_up(
-    spark: SparkSession,
-    raw_root: str,
-    table: TableSpec,
-    trusted_path: str,
-    checkpoint: str,
-    files_per_batch: int | None = None,
+    spark: SparkSession, house: Lakehouse, table: TableSpec, files_per_batch: int | None = None
 ) -> StreamingQuery:
-    """Process all landed batches once, then stop.
+    """Merge all landed batches of a table that were not merged yet, then stop.
 
     The stream's checkpoint takes the place of re-reading the raw layer. A
     micro-batch can be replayed, or hold rows older than the table's, so the
@@ -29,14 +24,14 @@ def pick_up(
     reader = spark.readStream.schema(StructType(table.schema.fields + StructType.fromDDL(PARTITIONS).fields))
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = reader.parquet(f"{raw_root}/{table.name}").drop(*PARTITION_COLUMNS)
+    rows = reader.parquet(f"{house.raw}/{table.name}").drop(*PARTITION_COLUMNS)
 
     def merge(batch: DataFrame, _: int) -> None:
-        merge_snapshot(trusted(batch, table), trusted_path, table, newer_by=table.changed_at)
+        merge_table(trusted(batch, table), house, house.silver(table.name), table, newer_by=table.changed_at)
 
     return (
         rows.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", house.progress(table.name))
         .trigger(availableNow=True)
         .start()
     )
