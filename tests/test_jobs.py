@@ -20,6 +20,7 @@ from tidemark.sources.snapshots import read_snapshot
 from tidemark.streaming.pickup import pick_up
 
 AS_OF = date(2001, 8, 2)
+AS_OF_TIME = datetime(2001, 8, 2)
 RUN_TS = datetime(2001, 8, 2, 6)
 
 
@@ -61,6 +62,29 @@ def test_extract_moves_the_watermark_and_overlaps(spark, folder, small):
     assert state["last_run_at"] is not None
 
 
+def test_only_changes_are_extracted(spark, folder, small):
+    house = Lakehouse(folder)
+    tables = retail.sources(spark, small)
+    jobs.start_pipeline(spark, house, "retail", datetime(2001, 1, 1))
+    report = {r["table_name"]: r for r in checks.incremental(spark, house, tables, "retail", AS_OF_TIME).collect()}
+    orders = tables["orders"]
+    assert report["orders"]["source_rows"] == orders.count()
+    assert report["orders"]["window_rows"] == orders.filter("updated_at > '2000-12-31 23:45:00'").count()
+    assert 0 < report["orders"]["reduction_pct"] < 100
+    assert (report["customers"]["window_rows"], report["customers"]["reduction_pct"]) == (0, 100.0)
+    assert all(r["incremental"] for r in report.values())
+    assert watermark(spark, house) == AS_OF_TIME
+
+
+def test_source_prefix_is_dropped(spark, folder, small):
+    house = Lakehouse(folder)
+    jobs.start_pipeline(spark, house, "retail", datetime(1994, 1, 1))
+    orders = retail.orders(spark, small)
+    landed = jobs.extract(spark, house, {"shop_orders": orders}, "retail", AS_OF_TIME, table_prefix="shop_")
+    assert landed.rows == {"orders": orders.count()}
+    assert read_raw(spark, house.raw, spec.ORDERS).count() == orders.count()
+
+
 def test_a_failing_table_leaves_the_watermark(spark, folder, small):
     house = Lakehouse(folder)
     tables = retail.sources(spark, small)

@@ -40,18 +40,21 @@ def highest_key(df: DataFrame, key: str) -> DataFrame:
     return df.agg(F.max(key).alias(key))
 
 
+def reduction(counts: DataFrame) -> DataFrame:
+    """``source_rows`` and ``window_rows`` with the share the window left out and the verdict."""
+    left_out = F.col("source_rows") - F.col("window_rows")
+    return counts.withColumns(
+        {
+            "reduction_pct": F.when(F.col("source_rows") > 0, share_tenths(left_out, F.col("source_rows"))),
+            "incremental": F.col("window_rows") < F.col("source_rows"),
+        }
+    )
+
+
 def extract_reduction(source: DataFrame, window: DataFrame) -> DataFrame:
     """How much smaller an incremental window is than its source, judged on rows."""
-    both = figures(
-        row_counts({"source_rows": source, "window_rows": window}), ["source_rows", "window_rows"]
-    )
-    kept_back = F.col("source_rows") - F.col("window_rows")
-    return both.select(
-        "source_rows",
-        "window_rows",
-        F.when(F.col("source_rows") > 0, share_tenths(kept_back, F.col("source_rows"))).alias("reduction_pct"),
-        (F.col("window_rows") < F.col("source_rows")).alias("incremental"),
-    )
+    names = ["source_rows", "window_rows"]
+    return reduction(figures(row_counts({"source_rows": source, "window_rows": window}), names))
 
 
 def differing_rows(left: DataFrame, right: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:

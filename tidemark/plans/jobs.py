@@ -97,18 +97,21 @@ def extract(
     pipeline: str,
     batch_end: datetime,
     overlap_minutes: int = spec.OVERLAP_MINUTES,
+    table_prefix: str = "",
 ) -> Extraction:
     """Land each table's changes since the watermark, then advance the watermark.
 
     One window, ending at ``batch_end``, serves all tables. A table without
-    changes is skipped. The watermark moves only after every write returned: if
+    changes is skipped. ``table_prefix`` is what the source's table names start
+    with and the raw layer's do not. The watermark moves only after every write returned: if
     one fails, the error goes up, the next run reads the same window again, and
     the rows landed twice are resolved by the trusted layer.
     """
     control = read_snapshot(spark, house.control, spec.CONTROL)
     start = window_start(read_watermark(control, pipeline), overlap_minutes)
     rows = {}
-    for name, source in sources.items():
+    for source_name, source in sources.items():
+        name = source_name.removeprefix(table_prefix)
         changed = changes(source, start, batch_end)
         if changed.isEmpty():
             rows[name] = 0
