@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark import spec
@@ -13,7 +14,9 @@ from tidemark.functions import as_cents, churn_band, from_cents, mean_cents, mom
 from tidemark.operators.dedup import duplicate_counts, latest_by_key
 from tidemark.operators.dimensions import calendar, date_span, dim_customer, dim_date, dim_product
 from tidemark.operators.quality import drop_counts, first_broken, leaked, rejected, validate
+from tidemark.operators.audit import differing_rows
 from tidemark.plans.layers import trusted
+from tidemark.sources.retail import order_items
 
 DAY = datetime(2024, 5, 1)
 
@@ -100,8 +103,20 @@ def test_duplicate_counts_take_null_as_one_key(spark):
 def test_a_hot_key_is_reduced_before_the_shuffle(spark):
     df = orders(spark, ROWS)
     plan = latest_by_key(df, "order_id")._jdf.queryExecution().executedPlan().toString()
-    before, after = plan.index("Final"), plan.index("Partial")
-    assert before < plan.index("Exchange") < after
+    assert plan.index("[max(struct") < plan.index("Exchange") < plan.index("[partial_max(struct")
+
+
+def test_latest_is_row_number_one(spark, small):
+    items = order_items(spark, small)
+    others = [c for c in items.columns if c not in ("item_id", "updated_at")]
+    order = [F.col(c).desc_nulls_last() for c in ["updated_at", *others]]
+    numbered = items.withColumn("n", F.row_number().over(Window.partitionBy("item_id").orderBy(*order)))
+    assert differing_rows(latest_by_key(items, "item_id"), numbered.filter("n = 1").drop("n")).isEmpty()
+
+
+def test_latest_of_a_composite_key(spark):
+    df = spark.createDataFrame([(1, 1, "a", DAY), (1, 2, "b", DAY), (1, 1, "c", DAY)], "x int, y int, v string, updated_at timestamp_ntz")
+    assert {tuple(r)[:3] for r in latest_by_key(df, ["x", "y"]).collect()} == {(1, 1, "c"), (1, 2, "b")}
 
 
 @settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

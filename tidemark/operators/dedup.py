@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,18 +13,20 @@ def _key_columns(key: str | Sequence[str]) -> list[str]:
 
 
 def latest_by_key(df: DataFrame, key: str | Sequence[str], changed_at: str = "updated_at") -> DataFrame:
-    """Keep one row per key: the latest by ``changed_at``.
+    """Keep one row per key: row number 1 by ``changed_at`` descending, nulls last.
 
     Equal timestamps are settled by all remaining columns in order, descending,
-    so the result does not depend on the order the rows arrive in. Keeping row
-    number 1 lets Catalyst cut every map partition to one row per key before the
-    shuffle, which is what makes a hot key harmless.
+    so the result does not depend on the order the rows arrive in.
+
+    That row is the greatest struct (changed_at, remaining columns...) of its
+    key. As an aggregate it is reduced to one row per key and map task before
+    the shuffle, which makes a hot key harmless, and rows are sorted by the key
+    alone, which is cheaper than a window's sort by key and all columns.
     """
     keys = _key_columns(key)
     ordering = [changed_at] + [c for c in df.columns if c not in keys and c != changed_at]
-    newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in ordering])
-    numbered = df.withColumn("_age", F.row_number().over(newest_first))
-    return numbered.filter(F.col("_age") == 1).drop("_age")
+    newest = df.groupBy(*keys).agg(F.max(F.struct(*ordering)).alias("_newest"))
+    return newest.select(*[F.col(c) if c in keys else F.col(f"_newest.{c}") for c in df.columns])
 
 
 def duplicate_counts(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
