@@ -1,6 +1,7 @@
 """Upserts, snapshots, key ranges, raw batches, catalog tables."""
 
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import spec
 from tidemark.operators.facts import fact_orders, item_counts
 from tidemark.operators.upsert import merge_into, upsert
+from tidemark.session import settings
 from tidemark.sources import ranges, raw
 from tidemark.sources.catalog import create_as, create_typed, register_parquet, save_bucketed, use_schema
 from tidemark.sources.jdbc import jdbc_options
@@ -253,6 +255,19 @@ def test_materialize_uses_the_shared_folder(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
 
 
+def test_a_cluster_needs_a_shared_folder():
+    context = SimpleNamespace(
+        getConf=lambda: {}, getCheckpointDir=lambda: None, master="yarn"
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=context))
+
+
+def test_settings_follow_the_shuffle():
+    assert settings(cores=8)["spark.sql.shuffle.partitions"] == "8"
+    assert settings(cores=4000, shuffle_bytes=10 * 2**40)["spark.sql.shuffle.partitions"] == "40960"
+
+
 def test_jdbc_options_split_on_the_key():
     options = jdbc_options("jdbc:x", "orders", "order_id", (1, 900), 8, user="reader")
     assert options["partitionColumn"] == "order_id"

@@ -38,8 +38,8 @@ def dim_product(
     run_ts: datetime | None = None,
 ) -> DataFrame:
     """Products generated from an id range, since there is no product source."""
-    product = F.col("id")
-    return spark.range(first_id, last_id + 1, numPartitions=1).select(
+    product, partitions = F.col("id"), 1 + (last_id - first_id) // 1_000_000
+    return spark.range(first_id, last_id + 1, numPartitions=partitions).select(
         product.alias("product_key"),
         product.alias("product_id"),
         product_category(product).alias("category"),

@@ -1,7 +1,29 @@
-"""The registered queries as plain SQL for DuckDB, written independently of the operators."""
+"""The registered queries as plain SQL for DuckDB, written independently of the operators.
+
+Only the fixed values (labels, thresholds, domains) are taken from the contracts.
+"""
 
 from __future__ import annotations
 
+from tidemark import spec
+
+
+def _case(conditions: dict[str, str], otherwise: str) -> str:
+    """A CASE over SQL conditions; the first that holds names the label."""
+    whens = " ".join(f"WHEN {condition} THEN '{label}'" for label, condition in conditions.items())
+    return f"CASE {whens} ELSE '{otherwise}' END"
+
+
+def _domain(values: list[str]) -> str:
+    return "(" + ", ".join(f"'{value}'" for value in values) + ")"
+
+
+_STATUSES, _TIERS = _domain(spec.ORDER_STATUSES), _domain(spec.CUSTOMER_TIERS)
+_SEGMENT = _case(spec.RFM_SEGMENTS, spec.RFM_SEGMENT_OTHERWISE)
+_CHURN = _case({band: f"recency_days > {days}" for band, days in spec.CHURN_BANDS.items()}, spec.CHURN_OTHERWISE)
+_CATEGORY = _case({c: f"pid <= {last}" for last, c, _ in spec.PRODUCT_RANGES[:-1]}, spec.PRODUCT_RANGES[-1][1])
+_LABEL = _case({n: f"pid <= {last}" for last, _, n in spec.PRODUCT_RANGES[:-1]}, spec.PRODUCT_RANGES[-1][2])
+
 # Shared building blocks; each query uses the ones it needs.
 BLOCKS = {
     "src_customers": """
@@ -36,14 +58,10 @@ BLOCKS = {
           CAST(l_extendedprice AS DECIMAL(12,2)) AS unit_price,
           l_shipdate AS created_at, l_shipdate AS updated_at
         FROM lineitem""",
-    "valid_customers": """
-        SELECT * FROM src_customers
-        WHERE customer_id IS NOT NULL AND email IS NOT NULL
-          AND tier IN ('standard', 'premium', 'enterprise')""",
-    "valid_orders": """
-        SELECT * FROM src_orders
-        WHERE order_id IS NOT NULL AND total_amount > 0
-          AND status IN ('pending', 'confirmed', 'shipped', 'delivered', 'cancelled')""",
+    "valid_customers": f"""
+        SELECT * FROM src_customers WHERE customer_id IS NOT NULL AND email IS NOT NULL AND tier IN {_TIERS}""",
+    "valid_orders": f"""
+        SELECT * FROM src_orders WHERE order_id IS NOT NULL AND total_amount > 0 AND status IN {_STATUSES}""",
     "valid_items": """
         SELECT * FROM src_items WHERE item_id IS NOT NULL AND quantity > 0 AND unit_price > 0""",
     "s_customers": """
@@ -75,12 +93,9 @@ BLOCKS = {
           lower(trim(email)) AS email, region, tier, TRUE AS is_current,
           created_at AS effective_from, TIMESTAMP '2001-08-02 06:00:00' AS dw_inserted_at
         FROM s_customers""",
-    "d_product": """
+    "d_product": f"""
         SELECT pid AS product_key, pid AS product_id,
-          CASE WHEN pid <= 50 THEN 'Electronics' WHEN pid <= 100 THEN 'Clothing'
-               WHEN pid <= 150 THEN 'Home & Kitchen' ELSE 'Books & Media' END AS category,
-          concat(CASE WHEN pid <= 50 THEN 'Electronic Product ' WHEN pid <= 100 THEN 'Clothing Item '
-               WHEN pid <= 150 THEN 'Kitchen Product ' ELSE 'Book or Media ' END, pid) AS product_name,
+          {_CATEGORY} AS category, concat({_LABEL}, ' ', pid) AS product_name,
           TRUE AS is_active, TIMESTAMP '2001-08-02 06:00:00' AS dw_inserted_at
         FROM (SELECT unnest(range(CAST(1 AS BIGINT), CAST(201 AS BIGINT))) AS pid)""",
     "n_items": "SELECT order_id, count(*) AS item_count FROM s_items GROUP BY order_id",
@@ -151,18 +166,11 @@ _LABELS = """
     SELECT customer_key, customer_id, name, email, region, tier, first_order_date, last_order_date,
       recency_days, total_orders, CAST(spent AS DOUBLE) AS total_spent, avg_order_value, total_items,
       r_score, f_score, m_score, concat(r_score, f_score, m_score) AS rfm_score,
-      CASE WHEN r_score >= 4 AND f_score >= 4 THEN 'Champions'
-           WHEN r_score >= 4 AND f_score <= 2 THEN 'New Customers'
-           WHEN r_score >= 3 AND f_score >= 3 AND m_score >= 3 THEN 'Potential Loyalists'
-           WHEN f_score >= 4 THEN 'Loyal Customers'
-           WHEN r_score <= 2 AND f_score >= 3 THEN 'At Risk'
-           WHEN r_score <= 2 AND f_score <= 2 AND m_score >= 3 THEN 'Cannot Lose Them'
-           WHEN r_score <= 2 THEN 'Lost' ELSE 'Hibernating' END AS rfm_segment,
-      CASE WHEN recency_days > 90 THEN 'HIGH' WHEN recency_days > 30 THEN 'MEDIUM' ELSE 'LOW' END AS churn_risk,
+      {segment} AS rfm_segment, {churn} AS churn_risk,
       TIMESTAMP '2001-08-02 06:00:00' AS pipeline_updated_at
     FROM {scores}"""
-BLOCKS["mart"] = _LABELS.format(scores="tiles")
-BLOCKS["mart_pct"] = _LABELS.format(scores="percentiles")
+BLOCKS["mart"] = _LABELS.format(scores="tiles", segment=_SEGMENT, churn=_CHURN)
+BLOCKS["mart_pct"] = _LABELS.format(scores="percentiles", segment=_SEGMENT, churn=_CHURN)
 
 BLOCKS["first_batch"] = """
     SELECT * FROM events WHERE ts > TIMESTAMP '2023-12-31 23:45:00' AND ts <= TIMESTAMP '2024-01-15 12:00:00'"""
@@ -245,13 +253,13 @@ QUERIES = {
           count(*) FILTER (order_id IS NOT NULL AND NOT coalesce(total_amount > 0, FALSE)) FROM src_orders
         UNION ALL SELECT 'orders', 3, 'status_known',
           count(*) FILTER (order_id IS NOT NULL AND total_amount > 0 AND NOT coalesce(status IN
-            ('pending', 'confirmed', 'shipped', 'delivered', 'cancelled'), FALSE)) FROM src_orders
+            """ + _STATUSES + """, FALSE)) FROM src_orders
         UNION ALL SELECT 'customers', 1, 'key_present', count(*) FILTER (customer_id IS NULL) FROM src_customers
         UNION ALL SELECT 'customers', 2, 'email_present',
           count(*) FILTER (customer_id IS NOT NULL AND email IS NULL) FROM src_customers
         UNION ALL SELECT 'customers', 3, 'tier_known',
           count(*) FILTER (customer_id IS NOT NULL AND email IS NOT NULL AND NOT coalesce(tier IN
-            ('standard', 'premium', 'enterprise'), FALSE)) FROM src_customers
+            """ + _TIERS + """, FALSE)) FROM src_customers
         UNION ALL SELECT 'order_items', 1, 'key_present', count(*) FILTER (item_id IS NULL) FROM src_items
         UNION ALL SELECT 'order_items', 2, 'quantity_positive',
           count(*) FILTER (item_id IS NOT NULL AND NOT coalesce(quantity > 0, FALSE)) FROM src_items
@@ -291,7 +299,7 @@ QUERIES = {
         SELECT {_ORDER_COLUMNS} FROM (
           SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) AS rn
           FROM (SELECT * FROM src_orders UNION ALL SELECT * FROM late_orders)
-          WHERE total_amount > 0 AND status IN ('pending', 'confirmed', 'shipped', 'delivered', 'cancelled'))
+          WHERE total_amount > 0 AND status IN {_STATUSES})
         WHERE rn = 1""",
     "upsert_orders": f"""
         WITH target AS (SELECT * FROM valid_orders WHERE updated_at < TIMESTAMP '2000-01-01'),
