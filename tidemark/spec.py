@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,7 +66,7 @@ class TableSpec:
     rules: dict[str, str] = field(default_factory=dict)
     changed_at: str = "updated_at"
 
-    @property
+    @cached_property
     def schema(self) -> StructType:
         return StructType.fromDDL(self.ddl)
 
