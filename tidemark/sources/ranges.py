@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.operators.upsert import upsert
 from tidemark.sources.shared import delete_folder, exists, is_complete, materialize
@@ -23,7 +23,7 @@ def _key_range(key: str, span: int) -> Column:
 
 
 def _schema(table: TableSpec) -> StructType:
-    return StructType(table.schema.fields).add(RANGE, LongType())
+    return StructType([*table.schema.fields, StructField(RANGE, LongType())])
 
 
 def _staged(path: str) -> str:
