@@ -74,7 +74,7 @@ def write_file(uri: str, data: bytes) -> None:
     from pyarrow import fs
 
     store, path = fs.FileSystem.from_uri(uri)
-    with store.open_output_stream(path) as out:
+    with store.open_output_stream(path, compression=None) as out:
         out.write(data)
 
 

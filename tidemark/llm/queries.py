@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_frequency, line_index
+from tidemark.llm import chunked_bpe, id_blocks, line_frequency, line_index, warc_zst
 from tidemark.llm.common import ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +100,33 @@ sizes AS (SELECT rid, count(*) AS n FROM lines GROUP BY rid)
 SELECT d.doc_id, s.n AS n_lines, s.n - coalesce(k.n, 0) AS n_dropped, sha256(coalesce(k.t, '')) AS kept_sha256
 FROM docs d JOIN sizes s USING (rid) LEFT JOIN kept k USING (rid)
 """
+
+
+@query
+def op3_warc_zst(spark, folder):
+    archives, listed = warc_zst.write_archives(table(spark, folder, "pages"), min_bytes=0)
+    records = warc_zst.read_archives(spark, archives, listed, payloads=False)
+    return records.select(
+        warc_zst.page_number("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc_zst.page_number("refers_to_id").alias("refers_to"),
+        "error",
+    )
+
+
+@query
+def op8_id_blocks(spark, folder):
+    encoder = id_blocks.TokenizerFile(spark, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return id_blocks.read(spark, *id_blocks.write(docs, encoder))
+
+
+@query
+def op10_chunked_bpe(spark, folder):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    codec = chunked_bpe.Codec(spark, path, public_tokenizers.PATTERN)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = chunked_bpe.encode(docs, codec).drop("text")
+    return chunked_bpe.ids_digest(chunked_bpe.decode(encoded, codec))
