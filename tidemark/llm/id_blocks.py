@@ -14,9 +14,12 @@ has the start of every block, so that any stretch of ids can be read by itself.
 from __future__ import annotations
 
 import itertools
+import json
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -240,52 +243,75 @@ def _checksums(file: IdFile, starts: np.ndarray, ends: np.ndarray) -> list[int]:
 class TokenizerFile:
     """Encode with the tokenizers library and a tokenizer file's content, an end id after each document.
 
-    The byte-level pattern never joins what stands before a space with the space
-    and the character after it, so texts are cut there and units seen before are
-    looked up. ``special`` says whether the special tokens' strings are ordinary text.
+    The byte-level pattern always cuts before a space that a character follows,
+    so texts are cut there and units seen before are looked up. A unit of Latin
+    letters is one pre-token, which needs no pattern. Files with another
+    normaliser or pre-tokeniser encode whole texts. The special tokens' strings
+    are ordinary text.
     """
 
-    _SPACED = " (?=\\S)"
-    _MEMO = 200_000
+    _MEMO = 400_000
+    _LATIN = "\u024f"
 
     def __init__(self, spark: SparkSession, path: str, end_id: int) -> None:
         with open(path, encoding="utf-8") as file:
-            self._content = spark.sparkContext.broadcast(file.read())
+            content = file.read()
+        self._content = spark.sparkContext.broadcast(content)
         self._end = end_id
+        parts = json.loads(content)
+        split = parts.get("pre_tokenizer") or {}
+        plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+        self._cuts = bool(plain and parts.get("normalizer") is None)
 
     def __call__(self) -> Callable[[list[str]], list[np.ndarray]]:
-        import re
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(self._content.value)
-        tokenizer.encode_special_tokens = True
-        space, odd = re.compile(self._SPACED), re.compile(r" (?:\s|\Z)")
+        content = json.loads(self._content.value)
+        whole = Tokenizer.from_str(self._content.value)
+        whole.encode_special_tokens = True
         end = np.array([self._end], dtype=np.uint32).tobytes()
-        known: dict[str, bytes] = {}
 
-        def units(text: str) -> list[str]:
-            """The text cut before each space that a character follows; the parts after the first lack that space."""
-            if odd.search(text) is None:
-                return text.split(" ")
-            cuts = [m.start() for m in space.finditer(text)]
-            edges = [-1, *cuts, len(text)]
-            return [text[a + 1 : b] for a, b in itertools.pairwise(edges)]
+        def packed(tokenizer: Tokenizer, text: str) -> bytes:
+            return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+        if not self._cuts:
+            return lambda texts: [np.frombuffer(packed(whole, x) + end, dtype=np.uint32) for x in texts]
+
+        content["pre_tokenizer"]["use_regex"] = False
+        single = Tokenizer.from_str(json.dumps(content | {"added_tokens": [], "post_processor": None}))
+        most, latin = self._MEMO, self._LATIN
+
+        class Units(dict):
+            """Packed ids of what follows a space."""
+
+            def __missing__(self, unit: str) -> bytes:
+                one = unit.isalpha() and max(unit) <= latin
+                ids = packed(single if one else whole, f" {unit}")
+                if len(self) >= most:
+                    self.clear()
+                if len(unit) < 64:
+                    self[unit] = ids
+                return ids
+
+        units = Units()
 
         def encode(texts: list[str]) -> list[np.ndarray]:
-            if len(known) > self._MEMO:
-                known.clear()
-            cut = [units(x) for x in texts]
-            new = [x for x in {p for parts in cut for p in parts[1:]} if x not in known]
-            for unit, found in zip(new, tokenizer.encode_batch([" " + x for x in new], add_special_tokens=False), strict=True):
-                known[unit] = np.array(found.ids, dtype=np.uint32).tobytes()
-            heads = tokenizer.encode_batch([parts[0] for parts in cut], add_special_tokens=False)
-            results = []
-            for head, parts in zip(heads, cut, strict=True):
-                first = np.array(head.ids, dtype=np.uint32).tobytes()
-                body = b"".join([known[x] for x in parts[1:]])
-                results.append(np.frombuffer(first + body + end, dtype=np.uint32))
-            return results
+            cut = [_cut_at_spaces(x) for x in texts]
+            heads = [packed(whole, parts[0]) for parts in cut]
+            bodies = [b"".join(map(units.__getitem__, parts[1:])) for parts in cut]
+            return [np.frombuffer(a + b + end, dtype=np.uint32) for a, b in zip(heads, bodies, strict=True)]
 
         return encode
+
+
+_SPACED = re.compile(r" (?=\S)")
+_ODD = re.compile(r" (?:\s|\Z)")
+
+
+def _cut_at_spaces(text: str) -> list[str]:
+    """The text cut at each space that a character follows; what stands before the first, then what follows each."""
+    if _ODD.search(text) is None:
+        return text.split(" ")
+    edges = [-1, *(m.start() for m in _SPACED.finditer(text)), len(text)]
+    return [text[a + 1 : b] for a, b in itertools.pairwise(edges)]
