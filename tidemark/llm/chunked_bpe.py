@@ -212,10 +212,14 @@ def ids_digest(df: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [np.frombuffer(x, dtype=np.uint32).tolist() for x in batch.column(1).to_pylist()]
-            sums = [hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest() for x in ids]
-            decoded = [hashlib.sha256(x).hexdigest() for x in batch.column(2).to_pylist()]
-            arrays = [batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(sums), pa.array(decoded)]
+            counts, sums = [], []
+            for packed in batch.column(1):
+                ids = np.frombuffer(packed.as_buffer(), dtype=np.uint32).tolist()
+                counts.append(len(ids))
+                sums.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+            decoded = [hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column(2)]
+            texts = [pa.array(x, pa.string()) for x in (sums, decoded)]
+            arrays = [batch.column(0), pa.array(counts, pa.int64()), *texts]
             yield pa.RecordBatch.from_arrays(arrays, names=[id_column, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     fields = f"{id_column} long, n_tokens long, ids_sha256 string, decoded_sha256 string"
