@@ -182,8 +182,9 @@ def write_archives(
     spark = df.sparkSession
     own = df.select(F.col(page_id).alias("_id"), F.col(url).alias("_url"), F.coalesce(html, F.lit("")).alias("_payload"))
     keyed = own.withColumn("_key", row_key("_id", "_payload"))
-    some = own.orderBy(F.xxhash64("_id", "_payload")).limit(SAMPLE_RECORDS)
-    samples = [x[0].encode() for x in some.select(F.substring("_payload", 1, SAMPLE_CHARS)).collect()]
+    chosen = keyed.select("_key").orderBy("_key").limit(SAMPLE_RECORDS).distinct()
+    some = keyed.join(F.broadcast(chosen), "_key", "left_semi").select(F.substring("_payload", 1, SAMPLE_CHARS))
+    samples = [x[0].encode() for x in some.limit(SAMPLE_RECORDS).collect()]
     dictionary = spark.sparkContext.broadcast(train_dictionary(samples))
     folder = file_folder(spark, "warc")
     rows = keyed.join(first_copies(keyed, "_id", "_payload", min_bytes), "_key", "left")
