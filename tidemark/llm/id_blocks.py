@@ -35,6 +35,7 @@ MAGIC = b"PFOR1\0\0\0"
 BLOCK = 256
 PERCENTILE = 90
 FILE_IDS = 4 << 20
+_AT_ONCE = 512  # documents encoded at once
 _STEP = 1 << 12  # blocks packed or unpacked at once
 
 
@@ -180,9 +181,9 @@ def write(
         size = 0
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
-            for at in range(0, len(texts), 256):
-                found = encode(texts[at : at + 256])
-                for key, own in zip(keys[at : at + 256], found, strict=True):
+            for at in range(0, len(texts), _AT_ONCE):
+                found = encode(texts[at : at + _AT_ONCE])
+                for key, own in zip(keys[at : at + _AT_ONCE], found, strict=True):
                     names.append(key)
                     ids.append(own)
                     size += len(own)
@@ -251,7 +252,6 @@ class TokenizerFile:
     """
 
     _MEMO = 400_000
-    _LATIN = "\u024f"
 
     def __init__(self, spark: SparkSession, path: str, end_id: int) -> None:
         with open(path, encoding="utf-8") as file:
@@ -272,39 +272,49 @@ class TokenizerFile:
         whole.encode_special_tokens = True
         end = np.array([self._end], dtype=np.uint32).tobytes()
 
-        def packed(tokenizer: Tokenizer, text: str) -> bytes:
-            return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        def packed(tokenizer: Tokenizer, texts: list[str]) -> list[bytes]:
+            found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [array("I", x.ids).tobytes() for x in found]
 
         if not self._cuts:
-            return lambda texts: [np.frombuffer(packed(whole, x) + end, dtype=np.uint32) for x in texts]
+            return lambda texts: [np.frombuffer(x + end, dtype=np.uint32) for x in packed(whole, texts)]
 
         content["pre_tokenizer"]["use_regex"] = False
         single = Tokenizer.from_str(json.dumps(content | {"added_tokens": [], "post_processor": None}))
-        most, latin = self._MEMO, self._LATIN
+        known: dict[str, bytes] = {}  # by what follows the space
 
-        class Units(dict):
-            """Packed ids of what follows a space."""
+        marks: dict[str, bytes] = {"": b""}
 
-            def __missing__(self, unit: str) -> bytes:
-                one = unit.isalpha() and max(unit) <= latin
-                ids = packed(single if one else whole, f" {unit}")
-                if len(self) >= most:
-                    self.clear()
-                if len(unit) < 64:
-                    self[unit] = ids
-                return ids
-
-        units = Units()
+        def learn(units: set[str]) -> None:
+            """Add the units: of Latin letters and a mark the word's and the mark's ids, of others what the library says."""
+            cut = [(x, m[1], m[2]) for x in units if (m := _WORD.fullmatch(x))]
+            new = list({word for _, word, _ in cut}.difference(known))
+            known.update(zip(new, packed(single, [f" {x}" for x in new]), strict=True))
+            for mark in {mark for _, _, mark in cut}.difference(marks):
+                marks[mark] = packed(single, [mark])[0]
+            known.update((x, known[word] + marks[mark]) for x, word, mark in cut if mark)
+            rest = list(units.difference([x for x, _, _ in cut]))
+            known.update(zip(rest, packed(whole, [f" {x}" for x in rest]), strict=True))
 
         def encode(texts: list[str]) -> list[np.ndarray]:
+            nonlocal known
             cut = [_cut_at_spaces(x) for x in texts]
-            heads = [packed(whole, parts[0]) for parts in cut]
-            bodies = [b"".join(map(units.__getitem__, parts[1:])) for parts in cut]
-            return [np.frombuffer(a + b + end, dtype=np.uint32) for a, b in zip(heads, bodies, strict=True)]
+            heads = packed(whole, [parts.pop(0) for parts in cut])
+            found = [list(map(known.get, parts)) for parts in cut]
+            learn({x for parts, ids in zip(cut, found, strict=True) for x, y in zip(parts, ids, strict=True) if y is None})
+            for parts, ids in zip(cut, found, strict=True):
+                if None in ids:
+                    ids[:] = [known[x] if y is None else y for x, y in zip(parts, ids, strict=True)]
+            if len(known) > self._MEMO:  # what these texts have is likelier to come again
+                known = {x: known[x] for parts in cut for x in parts if len(x) < 64}
+            joined = (b"".join([head, *ids, end]) for head, ids in zip(heads, found, strict=True))
+            return [np.frombuffer(x, dtype=np.uint32) for x in joined]
 
         return encode
 
 
+# A word of Latin letters, perhaps with one mark after it: two pre-tokens.
+_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]?)")
 _SPACED = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|\Z)")
 
