@@ -27,7 +27,7 @@ CHUNK_CHARS = 1 << 15
 OVERLAP_CHARS = 1 << 10
 # A match that ends so near to a chunk's end could go on in the text that follows.
 _GUARD = 3
-_MEMO = 200_000
+_MEMO = 150_000
 
 
 class RankCoder:
@@ -166,29 +166,62 @@ def _encode_long(texts: DataFrame, codec: Codec, chunk: int, overlap: int) -> Da
 
 
 def encode(
-    df: DataFrame, codec: Codec, text: str = "text", chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS
+    df: DataFrame,
+    codec: Codec,
+    text: str = "text",
+    chunk: int = CHUNK_CHARS,
+    overlap: int = OVERLAP_CHARS,
+    digests: bool = False,
 ) -> DataFrame:
     """Add ``ids``, the token ids as packed little-endian 32-bit integers, to each row.
 
-    A null or empty text has no ids. Repeated rows stay; a column ``ids`` is replaced.
+    With ``digests``, add instead what an audit needs of them: n_tokens,
+    ids_sha256 (of the decimal ids joined by spaces) and decoded_sha256 (of the
+    bytes they decode to). A null or empty text has no ids. Repeated rows stay;
+    columns with the added names are replaced.
     """
-    own = df.drop("ids")
+    added = DIGESTS if digests else IDS
+    own = df.drop(*added)
     columns = own.columns
-    fields = own.select(*[F.col(c) for c in columns]).schema.add("ids", "binary")
+    fields = own.select(*[F.col(c) for c in columns]).schema
+    for name, kind in added.items():
+        fields = fields.add(name, kind)
+
+    def with_ids(batch: pa.RecordBatch, ids: Iterator[bytes], coder: RankCoder) -> pa.RecordBatch:
+        rows = [_digests(x, coder) if digests else (x,) for x in ids]
+        found = [[row[i] for row in rows] for i in range(len(added))]
+        kinds = {"binary": pa.binary(), "long": pa.int64(), "string": pa.string()}
+        arrays = [pa.array(x, kinds[kind]) for x, kind in zip(found, added.values(), strict=True)]
+        carried = [batch.column(i) for i in range(len(columns))]
+        return pa.RecordBatch.from_arrays([*carried, *arrays], names=[*columns, *added])
 
     def encode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, at = codec.coder(), columns.index(text)
+        for batch in batches:
+            yield with_ids(batch, (coder.encode(x.as_py() or "") for x in batch.column(at)), coder)
+
+    def carry_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec.coder()
         for batch in batches:
-            ids = [coder.encode(x) if x else b"" for x in batch.column(columns.index(text)).to_pylist()]
-            arrays = [batch.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(ids, pa.binary())], names=[*columns, "ids"])
+            yield with_ids(batch, (x.as_py() for x in batch.column(len(columns))), coder)
 
     long = F.coalesce(F.char_length(text) > chunk, F.lit(False))
     short_rows = own.filter(~long).mapInArrow(encode_rows, fields)
     long_rows = own.filter(long).withColumn("_key", F.sha2(F.col(text), 256))
     texts = long_rows.select("_key", F.col(text).alias("_text")).dropDuplicates(["_key"])
-    long_ids = _encode_long(texts, codec, chunk, overlap)
-    return short_rows.unionByName(long_rows.join(long_ids, "_key").select(*columns, "ids"))
+    long_ids = _encode_long(texts, codec, chunk, overlap).withColumnRenamed("ids", "_ids")
+    joined = long_rows.join(long_ids, "_key").select(*columns, "_ids")
+    return short_rows.unionByName(joined.mapInArrow(carry_ids, fields))
+
+
+IDS = {"ids": "binary"}
+DIGESTS = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def _digests(ids: bytes, coder: RankCoder) -> tuple[int, str, str]:
+    numbers = np.frombuffer(ids, dtype=np.uint32).tolist()
+    decimal = hashlib.sha256(" ".join(map(str, numbers)).encode()).hexdigest()
+    return len(numbers), decimal, hashlib.sha256(coder.decode(ids)).hexdigest()
 
 
 def decode(df: DataFrame, codec: Codec) -> DataFrame:
@@ -200,27 +233,8 @@ def decode(df: DataFrame, codec: Codec) -> DataFrame:
     def decode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec.coder()
         for batch in batches:
-            out = [coder.decode(x or b"") for x in batch.column(columns.index("ids")).to_pylist()]
+            out = [coder.decode(x.as_py() or b"") for x in batch.column(columns.index("ids"))]
             arrays = [batch.column(i) for i in range(len(columns))]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(out, pa.binary())], names=[*columns, "decoded"])
 
     return own.mapInArrow(decode_rows, fields)
-
-
-def ids_digest(df: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """``n_tokens`` and ``ids_sha256``, the SHA-256 of the decimal ids joined by spaces, with ``decoded``."""
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts, sums = [], []
-            for packed in batch.column(1):
-                ids = np.frombuffer(packed.as_buffer(), dtype=np.uint32).tolist()
-                counts.append(len(ids))
-                sums.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
-            decoded = [hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column(2)]
-            texts = [pa.array(x, pa.string()) for x in (sums, decoded)]
-            arrays = [batch.column(0), pa.array(counts, pa.int64()), *texts]
-            yield pa.RecordBatch.from_arrays(arrays, names=[id_column, "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    fields = f"{id_column} long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return df.select(id_column, "ids", "decoded").mapInArrow(digest, fields)

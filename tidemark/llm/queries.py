@@ -128,5 +128,4 @@ def op10_chunked_bpe(spark, folder):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     codec = chunked_bpe.Codec(spark, path, public_tokenizers.PATTERN)
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    encoded = chunked_bpe.encode(docs, codec).drop("text")
-    return chunked_bpe.ids_digest(chunked_bpe.decode(encoded, codec))
+    return chunked_bpe.encode(docs, codec, digests=True).drop("text")
