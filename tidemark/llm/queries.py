@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunked_bpe, id_blocks, line_frequency, line_index, warc_zst
-from tidemark.llm.common import ship, table
+from tidemark.llm import chunked_bpe, id_blocks, line_frequency, line_index, ppm_language, warc_zst
+from tidemark.llm.common import fold, ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -129,3 +129,10 @@ def op10_chunked_bpe(spark, folder):
     codec = chunked_bpe.Codec(spark, path, public_tokenizers.PATTERN)
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return chunked_bpe.encode(docs, codec, digests=True).drop("text")
+
+
+@query
+def op7_ppm_language(spark, folder):
+    docs = table(spark, folder, "documents").withColumn("held_out", fold("doc_id", 3) == 1)
+    model = ppm_language.train(docs.filter(~F.col("held_out")).select("text", "lang"))
+    return ppm_language.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
