@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunked_bpe, id_blocks, line_frequency, line_index, ppm_language, warc_zst
+from tidemark.llm import chunked_bpe, id_blocks, line_frequency, line_index, ppm_language, toxicity, warc_zst
 from tidemark.llm.common import fold, ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,11 @@ def op7_ppm_language(spark, folder):
     docs = table(spark, folder, "documents").withColumn("held_out", fold("doc_id", 3) == 1)
     model = ppm_language.train(docs.filter(~F.col("held_out")).select("text", "lang"))
     return ppm_language.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+@query
+def op1_toxicity(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", fold("doc_id", 4) == 2)
+    labels = table(spark, folder, "labels").filter(fold("doc_id", 4) != 2)
+    model = toxicity.train(docs.filter(~F.col("held_out")), labels, corpus=docs)
+    return toxicity.score(docs, model)
