@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunked_bpe, id_blocks, line_frequency, line_index, ppm_language, toxicity, warc_zst
+from tidemark.llm import chunked_bpe, id_blocks, line_frequency, line_index, mixing, ppm_language, toxicity, warc_zst
 from tidemark.llm.common import fold, ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,9 @@ def op1_toxicity(spark, folder):
     labels = table(spark, folder, "labels").filter(fold("doc_id", 4) != 2)
     model = toxicity.train(docs.filter(~F.col("held_out")), labels, corpus=docs)
     return toxicity.score(docs, model)
+
+
+@query
+def op9_mixing(spark, folder):
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "source", "lang", "topic", "words", "weight", "probability", "sampled")
