@@ -56,8 +56,8 @@ def flattened_targets(cells: DataFrame, dimension: str, power: float = FLATTEN)
     """``dimension, _target``: shares of the words to the given power, scaled to 1."""
     sums = cells.groupBy(dimension).agg(F.sum("words").cast("double").alias("_sum"))
     raised = sums.withColumn("_target", F.pow("_sum", F.lit(power)))
-    total = raised.agg(F.sum("_target").alias("_all"))
-    return raised.join(total, F.lit(True)).select(dimension, (F.col("_target") / F.col("_all")).alias("_target"))
+    total = F.sum("_target").over(Window.partitionBy(F.lit(1)))
+    return raised.select(dimension, (F.col("_target") / total).alias("_target"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], max_sweeps: int = MAX_SWEEPS) -> DataFrame:

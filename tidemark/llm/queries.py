@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunked_bpe, id_blocks, line_frequency, line_index, mixing, ppm_language, toxicity, warc_zst
+from tidemark.llm import bag_minhash, chunked_bpe, id_blocks, line_frequency, line_index, mixing, ppm_language, toxicity, warc_zst
 from tidemark.llm.common import fold, ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,9 @@ def op1_toxicity(spark, folder):
 def op9_mixing(spark, folder):
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "source", "lang", "topic", "words", "weight", "probability", "sampled")
+
+
+@query
+def op6_bag_minhash(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bag_minhash.near_duplicates(docs).drop("_key")
