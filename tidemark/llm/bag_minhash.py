@@ -13,9 +13,9 @@ later than all places of the signature.
 2. Signatures are banded. In each bucket every node is paired with the bucket's
    hub, which a hash chooses anew for every bucket, and the pairs are verified
    exactly. Linked nodes form components.
-3. Buckets that still hold several components get the pairs between these whose
-   signatures agree enough, compared in blocks of bounded size, verified as well.
-   So no candidate pair is left out but those that are connected already.
+3. In buckets that still hold several components, the pairs between these whose
+   signatures agree enough are verified too, in blocks of bounded size. So no
+   candidate pair is left out but those that are connected already.
 """
 
 from __future__ import annotations
@@ -36,7 +36,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 # Signatures of texts with the similarity sought agree less than this in about one case of 100,000.
 LEAST_AGREEMENT = 0.65
-BLOCK = 512
+# Nodes, and shingles of all of them, in a block.
+BLOCK, BLOCK_SHINGLES = 512, 1_000_000
 _OWNER_BITS = np.uint64(12)
 _TWO_32 = np.uint64(1 << 32)
 _ROUND = np.uint64(0x9E3779B97F4A7C15)
@@ -142,38 +143,71 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return rows.mapInArrow(compare, "a long, b long, similarity double").filter(F.col("similarity") >= least)
 
 
-def _other_pairs(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """Pairs of one bucket's nodes in different components, whose signatures agree enough.
+def _other_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links ``a, b`` between the components of ``members`` (``bucket, band, node, label``).
 
-    ``members`` has ``bucket, node, label``. Large buckets are cut into blocks, and
-    every two blocks of a bucket meet in a group of their own.
+    Buckets with several components are cut into blocks of bounded size, and every
+    two blocks of a bucket meet in a group of their own. There all pairs of nodes
+    in different components whose signatures agree enough are compared exactly,
+    the likeliest first, each in the first bucket that it shares; two components
+    that a link has joined need no other. Only links leave the group.
     """
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = sizes.filter("low < high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    own = members.join(mixed, "bucket").join(nodes.select("node", "size", "short"), "node")
+    sized = members.join(nodes.select("node", "size", "short", "bands"), "node")
+    per_bucket = sized.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.sum("size").alias("all"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("all") / BLOCK_SHINGLES)).cast("int")
+    mixed = per_bucket.filter("low < high").select("bucket", blocks.alias("blocks"))
+    own = sized.join(mixed, "bucket").join(texts, "node")
     block = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
     met = own.withColumn("_own", block).withColumn("_met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = met.groupBy("bucket", F.least("_own", "_met").alias("i"), F.greatest("_own", "_met").alias("j"))
-    groups = keyed.agg(F.collect_list(F.struct("node", "label", "size", "short")).alias("rows"))
+    keyed = met.groupBy("bucket", "band", F.least("_own", "_met").alias("i"), F.greatest("_own", "_met").alias("j"))
+    rows = F.collect_list(F.struct("node", "label", "size", "short", "bands", "_text"))
+    groups = keyed.agg(rows.alias("rows")).select("band", "rows")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.column(0)
-            for at in range(len(rows)):
-                values = rows[at].values
-                node, label, size = (values.field(i).to_numpy() for i in range(3))
-                short = np.frombuffer(b"".join(values.field(3).to_pylist()), dtype=np.uint16).reshape(len(node), -1)
-                for row in range(len(node)):
-                    later = np.flatnonzero(label[row + 1 :] != label[row]) + row + 1
-                    later = later[np.minimum(size[later], size[row]) >= least * np.maximum(size[later], size[row])]
-                    agree = (short[later] == short[row]).mean(axis=1) if len(later) else np.zeros(0)
-                    hit = later[agree >= LEAST_AGREEMENT]
-                    if len(hit):
-                        pair = [np.full(len(hit), node[row]), node[hit]]
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in pair], names=["a", "b"])
-
-    pairs = groups.select("rows").mapInArrow(compare, "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            for band, group in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                links = _links_within(band, group.values, least)
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], names=["a", "b"])
+
+    return groups.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _links_within(band: int, rows: pa.StructArray, least: float) -> list[tuple[int, int]]:
+    node, label, size = (rows.field(i).to_numpy() for i in range(3))
+    short = np.frombuffer(b"".join(rows.field(3).to_pylist()), dtype=np.uint16).reshape(len(node), -1)
+    bands = rows.field(4).flatten().to_numpy().reshape(len(node), -1)
+    found = []
+    for row in range(len(node)):
+        later = np.flatnonzero(label[row + 1 :] != label[row]) + row + 1
+        later = later[np.minimum(size[later], size[row]) >= least * np.maximum(size[later], size[row])]
+        later = later[(bands[later] == bands[row]).argmax(axis=1) == band] if len(later) else later
+        if len(later):
+            agree = (short[later] == short[row]).mean(axis=1)
+            found += [(x, row, y) for x, y in zip(agree.tolist(), later.tolist(), strict=True) if x >= LEAST_AGREEMENT]
+    joined = {x: x for x in label.tolist()}
+
+    def top(x: int) -> int:
+        while joined[x] != x:
+            joined[x] = x = joined[joined[x]]
+        return x
+
+    bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    links = []
+    for _, *pair in sorted(found, reverse=True):
+        ends = [top(int(label[x])) for x in pair]
+        if ends[0] == ends[1]:
+            continue
+        for x in pair:
+            if x not in bags:
+                hashes, _ = shingle_hashes([rows.field(5)[x].as_buffer().to_pybytes()], WIDTH)
+                bags[x] = np.unique(hashes, return_counts=True)
+        if overlap(*(bags[x] for x in pair)) >= least:
+            joined[ends[0]] = ends[1]
+            links.append((int(min(node[pair])), int(max(node[pair]))))
+    return links
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -196,7 +230,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     )
     nodes = materialize(firsts, "nodes")
     banded = nodes.select("node", F.posexplode("bands").alias("band", "value"))
-    banded = banded.select(F.xxhash64("band", "value").alias("bucket"), "node")
+    banded = banded.select(F.xxhash64("band", "value").alias("bucket"), "band", "node")
     chosen = F.min(F.struct(F.xxhash64("bucket", "node").alias("order"), F.col("node").alias("hub")))
     hubs = banded.groupBy("bucket").agg(F.count("*").alias("n"), chosen.alias("hub")).filter("n > 1")
     members = materialize(banded.join(hubs.select("bucket", F.col("hub.hub").alias("hub")), "bucket"), "buckets")
@@ -206,9 +240,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     texts = materialize(own.join(wanted, "_key").dropDuplicates(["_key"]).drop("_key"), "candidate-texts")
     links = _verify(pairs.distinct(), texts, similarity)
     labels = components(links)
-    labelled = members.select("bucket", "node").join(labels, "node", "left")
-    labelled = labelled.select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    more = materialize(_verify(_other_pairs(labelled, nodes, similarity), texts, similarity).select("a", "b"), "more-links")
+    labelled = members.join(labels, "node", "left")
+    labelled = labelled.select("bucket", "band", "node", F.coalesce("label", "node").alias("label"))
+    more = materialize(_other_links(labelled, nodes, texts, similarity), "more-links")
     ends = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
     across = more.join(ends, "a", "left").join(ends.toDF("b", "lb"), "b", "left")
     merged = components(across.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
