@@ -7,9 +7,11 @@ the last return the columns of documents.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import line_frequency, line_index
+from tidemark.llm import bag_minhash, chunked_bpe, line_frequency, line_index, mixing
 from tidemark.llm.common import ship, table
 from tidemark.sources.shared import materialize
 
@@ -24,9 +26,29 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_index.drop_frequent_lines(docs).select(*docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each class of near-duplicates."""
+    return bag_minhash.one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled to the target weights of sources, languages and topics."""
+    return mixing.sampled(docs)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, lang, the token ids (packed 32-bit integers) and their number."""
+    codec = chunked_bpe.Codec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = chunked_bpe.encode(docs.select("doc_id", "source", "lang", "text"), codec).drop("text")
+    return encoded.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("tokenise", tokenise),
 ]
 
 # The sketches, the sampling and the token ids are beyond SQL; tests hold the rows against a plain version.
