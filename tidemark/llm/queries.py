@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bag_minhash, chunked_bpe, id_blocks, line_frequency, line_index, mixing, ppm_language, toxicity, warc_zst
+from tidemark.llm import bag_minhash, chunked_bpe, id_blocks, line_frequency, line_index, mixing, nn_descent, ppm_language, toxicity, warc_zst
 from tidemark.llm.common import fold, ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,8 @@ def op9_mixing(spark, folder):
 def op6_bag_minhash(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bag_minhash.near_duplicates(docs).drop("_key")
+
+
+@query
+def op2_nn_descent(spark, folder):
+    return nn_descent.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
