@@ -81,8 +81,8 @@ def signatures(texts: list[bytes], width: int = WIDTH, places: int = BANDS * ROW
 
 
 def sketch(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``_key, _id, node, size, bands, short`` of each row; texts without words have no node."""
-    names = ["_key", "_id", "node", "size", "bands", "short"]
+    """``__key, _id, node, size, bands, short`` of each row; texts without words have no node."""
+    names = ["__key", "_id", "node", "size", "bands", "short"]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -105,9 +105,9 @@ def sketch(df: DataFrame, doc_id: str, text: str) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    own = df.select(row_key(doc_id, text).alias("_key"), F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    own = df.select(row_key(doc_id, text).alias("__key"), F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     kind = own.schema["_id"].dataType.simpleString()
-    return own.mapInArrow(build, f"_key long, _id {kind}, node long, size long, bands array<long>, short binary")
+    return own.mapInArrow(build, f"__key long, _id {kind}, node long, size long, bands array<long>, short binary")
 
 
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -211,17 +211,17 @@ def _links_within(band: int, rows: pa.StructArray, least: float) -> list[tuple[i
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``_key, doc_id, class_id, is_first`` of each row: the class of texts that links of ``similarity`` connect.
+    """``__key, doc_id, class_id, is_first`` of each row: the class of texts that links of ``similarity`` connect.
 
     Words are split at ASCII white space and A-Z taken as a-z; a text of fewer
     than five words is one shingle. ``class_id`` is the smallest id in the class,
     and rows with it are first (of several rows without an id, that with the
     smallest key; ids come before none). Null texts and texts without words are
-    each a class of their own. ``_key`` is the row key of id and text, so repeated
+    each a class of their own. ``__key`` is the row key of id and text, so repeated
     rows have the same.
     """
     sketched = materialize(sketch(df, doc_id, text), "sketches")
-    place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_key").alias("key"))
+    place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("__key").alias("key"))
     firsts = sketched.filter("node IS NOT NULL").groupBy("node").agg(
         F.min(place).alias("first"),
         F.any_value("bands").alias("bands"),
@@ -235,9 +235,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     hubs = banded.groupBy("bucket").agg(F.count("*").alias("n"), chosen.alias("hub")).filter("n > 1")
     members = materialize(banded.join(hubs.select("bucket", F.col("hub.hub").alias("hub")), "bucket"), "buckets")
     pairs = members.filter("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-    wanted = members.select("node").distinct().join(nodes.select("node", F.col("first.key").alias("_key")), "node")
-    own = df.select(row_key(doc_id, text).alias("_key"), F.col(text).cast("binary").alias("_text"))
-    texts = materialize(own.join(wanted, "_key").dropDuplicates(["_key"]).drop("_key"), "candidate-texts")
+    wanted = members.select("node").distinct().join(nodes.select("node", F.col("first.key").alias("__key")), "node")
+    own = df.select(row_key(doc_id, text).alias("__key"), F.col(text).cast("binary").alias("_text"))
+    texts = materialize(own.join(wanted, "__key").dropDuplicates(["__key"]).drop("__key"), "candidate-texts")
     links = _verify(pairs.distinct(), texts, similarity)
     labels = components(links)
     labelled = members.join(labels, "node", "left")
@@ -250,19 +250,19 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     base = base.join(merged.toDF("label", "final"), "label", "left").withColumn("final", F.coalesce("final", "label"))
     heads = base.groupBy("final").agg(F.min("first").alias("head"))
     classes = base.join(heads, "final").select("node", "head")
-    found = sketched.select("_key", "_id", "node").join(classes, "node", "left")
+    found = sketched.select("__key", "_id", "node").join(classes, "node", "left")
     alone = F.col("head").isNull()
     return found.select(
-        "_key",
+        "__key",
         F.col("_id").alias(doc_id),
         F.when(alone, F.col("_id")).otherwise(F.col("head.id")).alias("class_id"),
-        (alone | (F.col("_key") == F.col("head.key"))).alias("is_first"),
+        (alone | (F.col("__key") == F.col("head.key"))).alias("is_first"),
     )
 
 
 def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The first document of each class, with its own columns; of repeated rows one. Texts without words all stay."""
     classes = near_duplicates(df, doc_id, text, **options)
-    first = classes.filter("is_first").select("_key").distinct()
-    keyed = df.withColumn("_key", row_key(doc_id, text)).join(first, "_key", "left_semi")
-    return keyed.dropDuplicates(["_key"]).select(*df.columns)
+    first = classes.filter("is_first").select("__key").distinct()
+    keyed = df.withColumn("__key", row_key(doc_id, text)).join(first, "__key", "left_semi")
+    return keyed.dropDuplicates(["__key"]).select(*df.columns)

@@ -108,22 +108,22 @@ def stitch(starts: list[int], heads: list[list[int]], tails: list[list[int]], le
 
 
 def _chunks(texts: DataFrame, chunk: int, overlap: int) -> DataFrame:
-    """Rows of ``_key, no, length, part``: chunk ``no`` of the text and the overlap with the next."""
+    """Rows of ``__key, no, length, part``: chunk ``no`` of the text and the overlap with the next."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for no, start in enumerate(range(0, len(text), chunk)):
-                    row = {"_key": [key], "no": [no], "length": [len(text)], "part": [text[start : start + chunk + overlap]]}
-                    kinds = [("_key", pa.string()), ("no", pa.int32()), ("length", pa.int64()), ("part", pa.string())]
+                    row = {"__key": [key], "no": [no], "length": [len(text)], "part": [text[start : start + chunk + overlap]]}
+                    kinds = [("__key", pa.string()), ("no", pa.int32()), ("length", pa.int64()), ("part", pa.string())]
                     yield pa.RecordBatch.from_pydict(row, schema=pa.schema(kinds))
 
-    cut_up = texts.select("_key", "_text").mapInArrow(cut, "_key string, no int, length long, part string")
-    return cut_up.repartition("_key", "no")
+    cut_up = texts.select("__key", "_text").mapInArrow(cut, "__key string, no int, length long, part string")
+    return cut_up.repartition("__key", "no")
 
 
 def _encode_long(texts: DataFrame, codec: Codec, chunk: int, overlap: int) -> DataFrame:
-    """``_key`` and ``ids`` of different long texts (``_key, _text``)."""
+    """``__key`` and ``ids`` of different long texts (``__key, _text``)."""
     chunks = _chunks(texts, chunk, overlap)
 
     def pre_tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,31 +138,31 @@ def _encode_long(texts: DataFrame, codec: Codec, chunk: int, overlap: int) -> Da
                 tails.append((start + sure[sure >= chunk]).tolist())
             arrays = [pa.array(heads, pa.list_(pa.int64())), pa.array(tails, pa.list_(pa.int64()))]
             columns = [batch.column(i) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*columns, *arrays], names=["_key", "no", "length", "head", "tail"])
+            yield pa.RecordBatch.from_arrays([*columns, *arrays], names=["__key", "no", "length", "head", "tail"])
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("no")
         starts = [int(n) * chunk for n in rows["no"]]
         parts = stitch(starts, list(rows["head"]), list(rows["tail"]), int(rows["length"].iloc[0]))
         piece, low, high = zip(*parts, strict=True)
-        return pd.DataFrame({"_key": rows["_key"], "no": rows["no"], "piece": piece, "low": low, "high": high})
+        return pd.DataFrame({"__key": rows["__key"], "no": rows["no"], "piece": piece, "low": low, "high": high})
 
     def encode(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("no")
         shares = zip(rows["part"], rows["no"], rows["low"], rows["high"], strict=True)
         text = "".join(part[low - no * chunk : high - no * chunk] for part, no, low, high in shares)
         first = rows.iloc[0]
-        return pd.DataFrame({"_key": [first["_key"]], "piece": [first["piece"]], "ids": [codec.coder().encode(text)]})
+        return pd.DataFrame({"__key": [first["__key"]], "piece": [first["piece"]], "ids": [codec.coder().encode(text)]})
 
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("piece")
-        return pd.DataFrame({"_key": [rows["_key"].iloc[0]], "ids": [b"".join(rows["ids"])]})
+        return pd.DataFrame({"__key": [rows["__key"].iloc[0]], "ids": [b"".join(rows["ids"])]})
 
-    found = chunks.mapInArrow(pre_tokenise, "_key string, no int, length long, head array<long>, tail array<long>")
-    parts = found.groupBy("_key").applyInPandas(meet, "_key string, no int, piece int, low long, high long")
-    pieces = chunks.join(parts, ["_key", "no"]).groupBy("_key", "piece")
-    encoded = pieces.applyInPandas(encode, "_key string, piece int, ids binary")
-    return encoded.groupBy("_key").applyInPandas(gather, "_key string, ids binary")
+    found = chunks.mapInArrow(pre_tokenise, "__key string, no int, length long, head array<long>, tail array<long>")
+    parts = found.groupBy("__key").applyInPandas(meet, "__key string, no int, piece int, low long, high long")
+    pieces = chunks.join(parts, ["__key", "no"]).groupBy("__key", "piece")
+    encoded = pieces.applyInPandas(encode, "__key string, piece int, ids binary")
+    return encoded.groupBy("__key").applyInPandas(gather, "__key string, ids binary")
 
 
 def encode(
@@ -207,10 +207,10 @@ def encode(
 
     long = F.coalesce(F.char_length(text) > chunk, F.lit(False))
     short_rows = own.filter(~long).mapInArrow(encode_rows, fields)
-    long_rows = own.filter(long).withColumn("_key", F.sha2(F.col(text), 256))
-    texts = long_rows.select("_key", F.col(text).alias("_text")).dropDuplicates(["_key"])
+    long_rows = own.filter(long).withColumn("__key", F.sha2(F.col(text), 256))
+    texts = long_rows.select("__key", F.col(text).alias("_text")).dropDuplicates(["__key"])
     long_ids = _encode_long(texts, codec, chunk, overlap).withColumnRenamed("ids", "_ids")
-    joined = long_rows.join(long_ids, "_key").select(*columns, "_ids")
+    joined = long_rows.join(long_ids, "__key").select(*columns, "_ids")
     return short_rows.unionByName(joined.mapInArrow(carry_ids, fields))
 
 

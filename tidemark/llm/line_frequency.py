@@ -78,22 +78,22 @@ def text_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def line_rows(df: DataFrame, host: str, text: str) -> DataFrame:
-    """Distinct rows of ``_host, _line, _key, _chars, _total``: the different lines of the different texts.
+    """Distinct rows of ``_host, _line, __key, _chars, _total``: the different lines of the different texts.
 
-    ``_line`` is the hash of host and normalised line, ``_key`` that of host and
+    ``_line`` is the hash of host and normalised line, ``__key`` that of host and
     text, ``_total`` the characters of all different lines of the text.
     """
     lines = F.transform(F.split(F.col(text), "\n", -1), lambda x: F.lower(F.btrim(x, F.lit(SPACES))))
     own = df.select(
         F.xxhash64(host).alias("_host"),
-        F.xxhash64(host, text).alias("_key"),
+        F.xxhash64(host, text).alias("__key"),
         F.array_distinct(F.filter(lines, lambda x: x != "")).alias("_lines"),
     ).withColumn("_total", F.aggregate("_lines", F.lit(0), lambda a, y: a + F.char_length(y)))
-    each = own.select("_host", "_key", "_total", F.explode("_lines").alias("_text"))
+    each = own.select("_host", "__key", "_total", F.explode("_lines").alias("_text"))
     return each.select(
         "_host",
         F.xxhash64("_host", "_text").alias("_line"),
-        "_key",
+        "__key",
         F.char_length("_text").alias("_chars"),
         "_total",
     ).distinct()
@@ -102,7 +102,7 @@ def line_rows(df: DataFrame, host: str, text: str) -> DataFrame:
 def boilerplate(df: DataFrame, lines: DataFrame, host: str, text: str, min_docs: int, max_share: float) -> DataFrame:
     """The lines that more than ``min_docs`` texts of a host hold, and more than ``max_share`` of all it has."""
     counts = lines.groupBy("_host", "_line").agg(F.count("*").alias("_docs")).filter(F.col("_docs") > min_docs)
-    texts = df.select(F.xxhash64(host).alias("_host"), F.xxhash64(host, text).alias("_key")).distinct()
+    texts = df.select(F.xxhash64(host).alias("_host"), F.xxhash64(host, text).alias("__key")).distinct()
     known = texts.groupBy("_host").agg((F.count("*") * max_share).alias("_most"))
     return counts.join(known, "_host").filter(F.col("_docs") > F.col("_most")).select("_line")
 
@@ -110,13 +110,13 @@ def boilerplate(df: DataFrame, lines: DataFrame, host: str, text: str, min_docs:
 def depleted(
     df: DataFrame, host: str, text: str, min_docs: int = 10, max_share: float = 0.1, least_left: float = 0.3
 ) -> DataFrame:
-    """``_key`` of the texts of which less than ``least_left`` (by characters of different lines) is no boilerplate."""
+    """``__key`` of the texts of which less than ``least_left`` (by characters of different lines) is no boilerplate."""
     lines = line_rows(df, host, text)
     common = boilerplate(df, lines, host, text, min_docs, max_share)
-    lost = lines.join(common, "_line", "left_semi").groupBy("_key").agg(
+    lost = lines.join(common, "_line", "left_semi").groupBy("__key").agg(
         F.sum("_chars").alias("_lost"), F.max("_total").alias("_total")
     )
-    return lost.filter(F.col("_total") - F.col("_lost") < least_left * F.col("_total")).select("_key")
+    return lost.filter(F.col("_total") - F.col("_lost") < least_left * F.col("_total")).select("__key")
 
 
 def judge(df: DataFrame, host: str = "source", text: str = "text", keep: list[str] | None = None, **limits) -> DataFrame:
@@ -130,10 +130,10 @@ def judge(df: DataFrame, host: str = "source", text: str = "text", keep: list[st
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     own = df.drop(*made)
     bare = depleted(own, host, text, **limits).withColumn("_bare", F.lit(True))
-    counted = text_counts(own.withColumn("_key", F.xxhash64(host, text)), text)
-    counted = counted.select(*[c for c in (keep or own.columns) if c not in made], "_key", *made[:-1])
-    judged = counted.join(bare, "_key", "left")
-    return judged.withColumn("kept", ~F.col("base_failed") & F.col("_bare").isNull()).drop("_key", "_bare")
+    counted = text_counts(own.withColumn("__key", F.xxhash64(host, text)), text)
+    counted = counted.select(*[c for c in (keep or own.columns) if c not in made], "__key", *made[:-1])
+    judged = counted.join(bare, "__key", "left")
+    return judged.withColumn("kept", ~F.col("base_failed") & F.col("_bare").isNull()).drop("__key", "_bare")
 
 
 def accepted(df: DataFrame, **options) -> DataFrame:

@@ -139,7 +139,7 @@ def _fingerprints(keys: np.ndarray) -> np.ndarray:
 def pack_lines(df: DataFrame, shards: int, text: str = "text", min_chars: int = 1) -> DataFrame:
     """Rows of ``shard, hashes, counts, keys`` (packed 64-, 32- and 64-bit integers), a row for each block and shard.
 
-    ``df`` has the documents' ``_key``. Lines whose key has fewer than
+    ``df`` has the documents' ``__key``. Lines whose key has fewer than
     ``min_chars`` code points are left out.
     """
 
@@ -153,7 +153,7 @@ def pack_lines(df: DataFrame, shards: int, text: str = "text", min_chars: int =
                 if len(hashes):
                     yield _packed(hashes, owners, shards)
 
-    own = df.select("_key", F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    own = df.select("__key", F.coalesce(F.col(text), F.lit("")).alias("_text"))
     return own.mapInArrow(pack, "shard int, hashes binary, counts binary, keys binary")
 
 
@@ -204,7 +204,7 @@ def build_index(packed: DataFrame) -> DataFrame:
 
 
 def frequent_lines(packed: DataFrame, index: DataFrame, min_docs: int) -> DataFrame:
-    """``_key`` and the sorted hashes of the document's lines that at least ``min_docs`` documents hold."""
+    """``__key`` and the sorted hashes of the document's lines that at least ``min_docs`` documents hold."""
 
     def probe(key: tuple, blocks: pd.DataFrame, arrays: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -214,11 +214,11 @@ def frequent_lines(packed: DataFrame, index: DataFrame, min_docs: int) -> DataFr
             times = np.frombuffer(counts, dtype=np.uint32)
             many = shard.count(own) >= min_docs
             docs = np.frombuffer(keys, dtype=np.int64)[np.repeat(many, times)]
-            found.append(pd.DataFrame({"_key": docs, "_hash": np.repeat(own[many], times[many]).view(np.int64)}))
-        return pd.concat(found) if found else pd.DataFrame({"_key": [], "_hash": []}, dtype="int64")
+            found.append(pd.DataFrame({"__key": docs, "_hash": np.repeat(own[many], times[many]).view(np.int64)}))
+        return pd.concat(found) if found else pd.DataFrame({"__key": [], "_hash": []}, dtype="int64")
 
-    pairs = packed.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(probe, "_key long, _hash long")
-    return pairs.groupBy("_key").agg(F.collect_set("_hash").alias("_frequent"))
+    pairs = packed.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(probe, "__key long, _hash long")
+    return pairs.groupBy("__key").agg(F.collect_set("_hash").alias("_frequent"))
 
 
 def shard_count(df: DataFrame, text: str = "text") -> int:
@@ -244,10 +244,10 @@ def drop_frequent_lines(
     """
     added = ["n_lines", "n_dropped", "kept_sha256"]
     own = df.drop(*added)
-    keyed = own.withColumn("_key", row_key(doc_id, text))
+    keyed = own.withColumn("__key", row_key(doc_id, text))
     packed = materialize(pack_lines(keyed, shards or shard_count(own, text), text, min_chars), "line-blocks")
     index = materialize(build_index(packed), "line-index")
-    joined = keyed.join(frequent_lines(packed, index, min_docs), "_key", "left").drop("_key")
+    joined = keyed.join(frequent_lines(packed, index, min_docs), "__key", "left").drop("__key")
     columns = own.columns
     schema = own.select(*[F.col(c) for c in columns]).schema
 

@@ -155,7 +155,7 @@ def op9_mixing(spark, folder):
 @query
 def op6_bag_minhash(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return bag_minhash.near_duplicates(docs).drop("_key")
+    return bag_minhash.near_duplicates(docs).drop("__key")
 
 
 @query

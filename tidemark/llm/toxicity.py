@@ -218,9 +218,9 @@ def _sample(df: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str
     one = one.groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).alias("_label"))
     chosen = F.broadcast(one.orderBy(F.xxhash64("_id"), "_id").limit(rows))
     known = df.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(chosen, "_id")
-    return known.groupBy(F.xxhash64("_text").alias("_key")).agg(
+    return known.groupBy(F.xxhash64("_text").alias("__key")).agg(
         F.first("_text").alias("_text"), F.max("_label").cast("int").alias("_label")
-    ).withColumn("_half", F.pmod(F.col("_key"), F.lit(2)).cast("int"))
+    ).withColumn("_half", F.pmod(F.col("__key"), F.lit(2)).cast("int"))
 
 
 def _feature_counts(sample: DataFrame, restorer: Restorer) -> DataFrame:

@@ -154,13 +154,13 @@ def frames(data: bytes) -> Iterator[bytes]:
 
 
 def first_copies(df: DataFrame, page_id: str, payload: str, min_bytes: int) -> DataFrame:
-    """``_key`` of each page whose payload another page with a smaller id has, and that page's id."""
+    """``__key`` of each page whose payload another page with a smaller id has, and that page's id."""
     digest = F.sha1(F.col(payload).cast("binary"))
     large = df.filter(F.octet_length(payload) >= min_bytes)
-    narrow = large.select("_key", F.col(page_id).alias("_id"), digest.alias("_digest"))
+    narrow = large.select("__key", F.col(page_id).alias("_id"), digest.alias("_digest"))
     groups = narrow.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
     later = narrow.join(groups.filter("_first < _last").select("_digest", "_first"), "_digest")
-    return later.filter("_id > _first").select("_key", "_first").distinct()
+    return later.filter("_id > _first").select("__key", "_first").distinct()
 
 
 def write_archives(
@@ -181,13 +181,13 @@ def write_archives(
     """
     spark = df.sparkSession
     own = df.select(F.col(page_id).alias("_id"), F.col(url).alias("_url"), F.coalesce(html, F.lit("")).alias("_payload"))
-    keyed = own.withColumn("_key", row_key("_id", "_payload"))
-    chosen = keyed.select("_key").orderBy("_key").limit(SAMPLE_RECORDS).distinct()
-    some = keyed.join(F.broadcast(chosen), "_key", "left_semi").select(F.substring("_payload", 1, SAMPLE_CHARS))
+    keyed = own.withColumn("__key", row_key("_id", "_payload"))
+    chosen = keyed.select("__key").orderBy("__key").limit(SAMPLE_RECORDS).distinct()
+    some = keyed.join(F.broadcast(chosen), "__key", "left_semi").select(F.substring("_payload", 1, SAMPLE_CHARS))
     samples = [x[0].encode() for x in some.limit(SAMPLE_RECORDS).collect()]
     dictionary = spark.sparkContext.broadcast(train_dictionary(samples))
     folder = file_folder(spark, "warc")
-    rows = keyed.join(first_copies(keyed, "_id", "_payload", min_bytes), "_key", "left")
+    rows = keyed.join(first_copies(keyed, "_id", "_payload", min_bytes), "__key", "left")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, serial = TaskContext.get().partitionId(), itertools.count()
