@@ -36,7 +36,7 @@ def test_line_frequency(odd, none):
 
 
 def test_boilerplate_depletes_a_document(spark):
-    shared = "\n".join(f"shared line {i} " + "x " * 20 for i in range(4))
+    shared = "\n".join(" ".join(f"s{i}y{j}" for j in range(20)) for i in range(4))
     rows = [(i, f"{shared}\n{own}", "h") for i in range(30) for own in [" ".join(f"w{i}x{j}" for j in range(200 if i else 1))]]
     judged = line_frequency.judge(spark.createDataFrame(rows, "doc_id long, text string, source string"))
     assert [r["doc_id"] for r in judged.filter("NOT kept AND NOT base_failed").collect()] == [0]
