@@ -21,7 +21,7 @@ def first_broken(rules: Rules) -> Column:
         F.when(F.coalesce(_condition(rule), F.lit(False)), F.lit(None)).otherwise(F.lit(name))
         for name, rule in rules.items()
     ]
-    return F.coalesce(*broken)
+    return F.coalesce(*broken, F.lit(None).cast("string"))
 
 
 def _tallies(rules: Rules) -> list[Column]:
@@ -35,7 +35,7 @@ def validate(df: DataFrame, rules: Rules) -> DataFrame:
     The filter is the plain conjunction of the conditions, so Catalyst can push
     it into the scan.
     """
-    return df.filter(reduce(Column.__and__, [_condition(r) for r in rules.values()]))
+    return df.filter(reduce(Column.__and__, [_condition(r) for r in rules.values()], F.lit(True)))
 
 
 def rejected(df: DataFrame, rules: Rules, column: str = "broken_rule") -> DataFrame:
@@ -50,6 +50,8 @@ def drop_counts(df: DataFrame, rules: Rules) -> DataFrame:
     own and not an observation on the validated plan: map tasks that run again
     after a lost executor would be observed twice.
     """
+    if not rules:
+        return df.sparkSession.createDataFrame([], "rule_order int, rule string, dropped long")
     counted = df.agg(*_tallies(rules))
     rows = F.array(
         *[
