@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import spec
 from tidemark.functions import as_cents, churn_band, from_cents, mean_cents, rfm_code, rfm_segment, share_tenths
 from tidemark.operators.dimensions import load_time
-from tidemark.operators.ranking import RFM_MEASURES, TASK_ROWS, percentile_scores, tile_scores
+from tidemark.operators.ranking import RFM_MEASURES, PICK_ROWS, percentile_scores, tile_scores
 from tidemark.sources.shared import materialize
 
 CUSTOMER_ATTRIBUTES = ["customer_id", "name", "email", "region", "tier"]
@@ -50,7 +50,7 @@ def customer_profile(
     )
 
 
-def score_profile(profile: DataFrame, method: str = "tiles", task_rows: int = TASK_ROWS) -> DataFrame:
+def score_profile(profile: DataFrame, method: str = "tiles", pick_rows: int = PICK_ROWS) -> DataFrame:
     """The profile with ``r_score``, ``f_score`` and ``m_score``.
 
     ``tiles`` cuts five equal groups, ``percentile`` rounds the percentile rank.
@@ -58,7 +58,7 @@ def score_profile(profile: DataFrame, method: str = "tiles", task_rows: int = TA
     """
     scorers = {"tiles": tile_scores, "percentile": percentile_scores}
     stored = materialize(profile, "customer_profile")
-    return scorers[method](stored, "customer_key", RFM_MEASURES, stored.count(), task_rows=task_rows)
+    return scorers[method](stored, "customer_key", RFM_MEASURES, stored.count(), pick_rows=pick_rows)
 
 
 def build_mart(
@@ -68,11 +68,11 @@ def build_mart(
     run_ts: datetime | None = None,
     method: str = "tiles",
     keep_unknown: bool = False,
-    task_rows: int = TASK_ROWS,
+    pick_rows: int = PICK_ROWS,
 ) -> DataFrame:
     """The flat customer mart: profile, scores, segment and churn band."""
     profile = customer_profile(orders, customers, as_of, keep_unknown)
-    scored = score_profile(profile, method, task_rows)
+    scored = score_profile(profile, method, pick_rows)
     return spec.MART.conform(
         scored.withColumns(
             {
