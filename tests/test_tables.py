@@ -131,6 +131,23 @@ def test_ranges_finish_what_a_dead_run_staged(spark, folder):
     assert content(ranges.read_ranges(spark, path, PAIRS)) == sorted(expected, key=str)
 
 
+def test_ranges_refuse_another_span(spark, folder):
+    path = f"{folder}/pairs"
+    ranges.merge_ranges(pairs(spark, (5, "a", 1), (25, "b", 1)), path, PAIRS, span=10)
+    with pytest.raises(ValueError, match="ranges of 10 keys"):
+        ranges.merge_ranges(pairs(spark, (25, "B", 2)), path, PAIRS, span=100)
+    assert content(ranges.read_ranges(spark, path, PAIRS)) == sorted([(5, "a"), (25, "b")], key=str)
+
+
+def test_first_write_refuses_repeated_keys(spark, folder):
+    twice = pairs(spark, (1, "a", 1), (1, "b", 2))
+    with pytest.raises(Exception, match="repeated"):
+        ranges.merge_ranges(twice, f"{folder}/ranges", PAIRS, span=10)
+    with pytest.raises(Exception, match="repeated"):
+        merge_snapshot(twice, f"{folder}/snapshots", PAIRS)
+    assert read_snapshot(spark, f"{folder}/snapshots", PAIRS).count() == 0
+
+
 def test_ranges_of_nothing(spark, folder):
     path = f"{folder}/pairs"
     assert ranges.read_ranges(spark, path, PAIRS).count() == 0

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.operators.upsert import upsert
-from tidemark.sources.shared import delete_folder, exists, is_complete, materialize
+from tidemark.sources.shared import delete_folder, exists, filesystem, is_complete, materialize
 from tidemark.spec import TableSpec
 
 RANGE = "key_range"
+SPAN = "_span-"
 
 
 def _key_range(key: str, span: int) -> Column:
@@ -26,6 +27,13 @@ def _schema(table: TableSpec) -> StructType:
     return StructType([*table.schema.fields, StructField(RANGE, LongType())])
 
 
+def _known_span(spark: SparkSession, path: str) -> int | None:
+    """The span a table was made with; the table's folder holds it in the name of a marker."""
+    files, pattern = filesystem(spark, f"{path}/{SPAN}*")
+    found = files.globStatus(pattern) or []
+    return int(found[0].getPath().getName().removeprefix(SPAN)) if found else None
+
+
 def _staged(path: str) -> str:
     return f"{path}.staged"
 
@@ -64,19 +72,25 @@ def merge_ranges(
     """Upsert the rows into a table whose ranges hold ``span`` keys each.
 
     The source is stored first: its ranges decide, as literals, which
-    partitions of the target are read at all.
+    partitions of the target are read at all. A table keeps the span of its
+    first merge; another one is refused, since a key would lie in two ranges.
     """
     spark = source.sparkSession
+    known = _known_span(spark, path)
+    if known not in (None, span):
+        raise ValueError(f"{path} has ranges of {known} keys, not {span}")
     _finish_pending(spark, path, table)
     ranged = table.conform(source).withColumn(RANGE, _key_range(table.key, span))
     stored = materialize(ranged, f"{table.name}-source")
     if stored.isEmpty():
         return
-    merged = stored
+    target = spark.createDataFrame([], _schema(table))
     if exists(spark, path):
         touched = [row[RANGE] for row in stored.select(RANGE).distinct().collect()]
         target = spark.read.schema(_schema(table)).parquet(path).filter(F.col(RANGE).isin(touched))
-        merged = upsert(target, stored, table.key, newer_by, nullable_key=False)
+    files, marker = filesystem(spark, f"{path}/{SPAN}{span}")
+    files.mkdirs(marker)
+    merged = upsert(target, stored, table.key, newer_by, nullable_key=False)
     # Rebalancing gives each range few files, and splits a range too large for one task.
     merged.hint("rebalance", RANGE).write.mode("overwrite").partitionBy(RANGE).parquet(_staged(path))
     _publish(spark, path, table)

@@ -49,8 +49,6 @@ def merge_snapshot(
     """Upsert the rows into the table; the first write creates it."""
     spark = source.sparkSession
     source = table.conform(source)
-    if current_version(spark, path) == MISSING:
-        return write_snapshot(source, path)
     target = read_snapshot(spark, path, table)
     return write_snapshot(upsert(target, source, table.key, newer_by, nullable_key=False), path)
 
