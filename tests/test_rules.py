@@ -68,9 +68,10 @@ def test_validation_reaches_the_scan(spark, folder):
     assert "In(status, [" in scan
 
 
-def test_leaked(spark):
-    table, bad = orders(spark, ROWS[:3]), spark.createDataFrame([(2,), (9,)], "order_id long")
-    assert [r["order_id"] for r in leaked(table, bad, "order_id").collect()] == [2]
+def test_leaked_compares_rows_not_keys(spark):
+    table = orders(spark, [(1, "pending", 5.0, 2), (2, "shipped", -7.0, 3), (3, None, 1.0, 1)])
+    bad = orders(spark, [(1, "pending", -5.0, 1), (2, "shipped", -7.0, 3), (3, None, 1.0, 1), (9, "pending", 0.0, 1)])
+    assert sorted(r["order_id"] for r in leaked(table, bad).collect()) == [2, 3]
 
 
 def test_latest_wins_and_ties_are_settled(spark):

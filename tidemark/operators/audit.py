@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -40,6 +41,12 @@ def highest_key(df: DataFrame, key: str) -> DataFrame:
     return df.agg(F.max(key).alias(key))
 
 
+def change_bounds(tables: Iterable[DataFrame], changed_at: str) -> tuple[datetime, datetime]:
+    """The first and the last change of all the tables; one row reaches the driver."""
+    times = reduce(DataFrame.unionByName, [df.select(F.col(changed_at).cast("timestamp").alias("at")) for df in tables])
+    return tuple(times.agg(F.min("at"), F.max("at")).first())
+
+
 def reduction(counts: DataFrame) -> DataFrame:
     """``source_rows`` and ``window_rows`` with the share the window left out and the verdict."""
     left_out = F.col("source_rows") - F.col("window_rows")

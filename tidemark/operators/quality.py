@@ -62,6 +62,6 @@ def drop_counts(df: DataFrame, rules: Rules) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
-def leaked(table: DataFrame, bad_keys: DataFrame, key: str) -> DataFrame:
-    """Rows of a trusted table whose key is known to be bad; should be empty."""
-    return table.join(bad_keys.select(key), key, "left_semi")
+def leaked(table: DataFrame, bad: DataFrame) -> DataFrame:
+    """Rows of a trusted table that are known to be bad, alike in all its columns; should be empty."""
+    return table.intersect(bad.select(*table.columns))

@@ -38,11 +38,15 @@ def incremental(
 
 
 def idempotency(spark: SparkSession, house: Lakehouse, as_of: date, run_ts: datetime | None = None) -> DataFrame:
-    """Run raw to mart twice and compare the results, load times aside."""
+    """Run raw to mart twice and compare every trusted table, star table and the mart, load times aside."""
+
+    def stored() -> dict[str, DataFrame]:
+        return jobs.silver_tables(spark, house) | jobs.gold_tables(spark, house) | jobs.results(spark, house)
+
     jobs.transform(spark, house, as_of, run_ts)
-    first = jobs.results(spark, house)
+    first = stored()
     jobs.transform(spark, house, as_of, run_ts)
-    return compare(first, jobs.results(spark, house), ignore=LOAD_TIMES)
+    return compare(first, stored(), ignore=LOAD_TIMES)
 
 
 def injected_orders(orders: DataFrame, at: datetime) -> DataFrame:
@@ -85,13 +89,16 @@ def quality_gate(orders: DataFrame, at: datetime) -> DataFrame:
 
 
 def leak_report(raw: layers.Tables) -> DataFrame:
-    """Per table: keys with a rejected row, and how many of them the trusted table holds."""
+    """Per table: keys with a rejected row, and how many rejected rows the trusted table holds.
+
+    A key may have rejected and valid rows, so rows are compared, not keys.
+    """
     report = []
     for name, rows in raw.items():
         table = spec.SOURCE_TABLES[name]
-        bad_keys = rejected(table.conform(rows), table.rules).select(table.key).distinct()
-        trusted = layers.trusted(rows, table)
-        counts = row_counts({"bad_keys": bad_keys, "leaked": leaked(trusted, bad_keys, table.key)})
+        bad = rejected(table.conform(rows), table.rules)
+        bad_keys = bad.filter(F.col(table.key).isNotNull()).select(table.key).distinct()
+        counts = row_counts({"bad_keys": bad_keys, "leaked": leaked(layers.trusted(rows, table), bad)})
         found = figures(counts, ["bad_keys", "leaked"])
         report.append(found.select(F.lit(name).alias("table_name"), "bad_keys", "leaked"))
     return reduce(DataFrame.unionByName, report)

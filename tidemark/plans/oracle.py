@@ -272,13 +272,18 @@ QUERIES = {
         FROM src_orders EXCEPT ALL
         SELECT {_ORDER_COLUMNS}, 'status_known' AS broken_rule FROM valid_orders""",
     "leak_check": """
+        WITH bad_orders AS (SELECT * FROM src_orders EXCEPT SELECT * FROM valid_orders),
+             bad_customers AS (SELECT * FROM src_customers EXCEPT SELECT * FROM valid_customers),
+             bad_items AS (SELECT * FROM src_items EXCEPT SELECT * FROM valid_items)
         SELECT 'orders' AS table_name, count(DISTINCT order_id) AS bad_keys,
-          count(DISTINCT order_id) FILTER (order_id IN (SELECT order_id FROM s_orders)) AS leaked
-        FROM (SELECT order_id FROM src_orders EXCEPT SELECT order_id FROM valid_orders)
+          (SELECT count(*) FROM (SELECT * FROM s_orders INTERSECT SELECT * FROM bad_orders)) AS leaked
+        FROM bad_orders
         UNION ALL
         SELECT 'customers', count(DISTINCT customer_id),
-          count(DISTINCT customer_id) FILTER (customer_id IN (SELECT customer_id FROM s_customers))
-        FROM (SELECT customer_id FROM src_customers EXCEPT SELECT customer_id FROM valid_customers)""",
+          (SELECT count(*) FROM (SELECT * FROM s_customers INTERSECT SELECT * FROM bad_customers)) FROM bad_customers
+        UNION ALL
+        SELECT 'order_items', count(DISTINCT item_id),
+          (SELECT count(*) FROM (SELECT * FROM s_items INTERSECT SELECT * FROM bad_items)) FROM bad_items""",
     "quality_gate": """
         SELECT count(*) AS rows_before, count(*) + 1 AS rows_after, CAST(0 AS BIGINT) AS bad_leaked,
           CAST(1 AS BIGINT) AS good_passed, TRUE AS passed FROM s_orders""",
@@ -353,6 +358,13 @@ QUERIES = {
     "rfm_ntile_scores": """
         SELECT customer_key, recency_days, total_orders, CAST(spent AS DOUBLE) AS total_spent,
           r_score, f_score, m_score FROM tiles""",
+    "rfm_null_scores": """
+        WITH gaps AS (SELECT * REPLACE (CASE WHEN customer_key % 3 <> 0 THEN recency_days END AS recency_days) FROM profile)
+        SELECT customer_key, recency_days, total_orders, CAST(spent AS DOUBLE) AS total_spent,
+          CAST(6 - ntile(5) OVER (ORDER BY recency_days NULLS FIRST, customer_key) AS INTEGER) AS r_score,
+          CAST(ntile(5) OVER (ORDER BY total_orders, customer_key) AS INTEGER) AS f_score,
+          CAST(ntile(5) OVER (ORDER BY spent, customer_key) AS INTEGER) AS m_score
+        FROM gaps""",
     "rfm_pct_scores": """
         SELECT customer_key, recency_days, total_orders, CAST(spent AS DOUBLE) AS total_spent,
           r_score, f_score, m_score FROM percentiles""",
@@ -382,6 +394,12 @@ QUERIES = {
     "idempotency_check": """
         SELECT table_name, n AS first_rows, n AS second_rows, CAST(0 AS BIGINT) AS rows_differing, TRUE AS identical
         FROM (SELECT 'dim_customer' AS table_name, count(*) AS n FROM d_customer
+              UNION ALL SELECT 'orders', count(*) FROM s_orders
+              UNION ALL SELECT 'customers', count(*) FROM s_customers
+              UNION ALL SELECT 'order_items', count(*) FROM s_items
+              UNION ALL SELECT 'dim_product', 200
+              UNION ALL SELECT 'dim_date', CAST(DATE '2027-12-31' - DATE '2024-01-01' AS BIGINT) + 1
+              UNION ALL SELECT 'fact_order_items', count(*) FROM f_items
               UNION ALL SELECT 'fact_orders', count(*) FROM f_orders
               UNION ALL SELECT 'customer_mart', count(*) FROM mart)""",
 }

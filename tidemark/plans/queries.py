@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -206,7 +206,7 @@ def rejected_orders(spark, folder):
 
 @query
 def leak_check(spark, folder):
-    return checks.leak_report(retail.sources(spark, folder, "orders", "customers"))
+    return checks.leak_report(retail.sources(spark, folder))
 
 
 @query
@@ -404,6 +404,14 @@ def rfm_ntile_scores(spark, folder):
     return expose_money(mart.score_profile(_profile(spark, folder)).select(*SCORED))
 
 
+@query
+def rfm_null_scores(spark, folder):
+    """Tiles where every third customer has no recency."""
+    recency = F.when(F.col("customer_key") % 3 != 0, F.col("recency_days"))
+    profile = _profile(spark, folder).withColumn("recency_days", recency)
+    return expose_money(mart.score_profile(profile).select(*SCORED))
+
+
 @query
 def rfm_pct_scores(spark, folder):
     scored = mart.score_profile(_profile(spark, folder, keep_unknown=True), "percentile")
@@ -454,6 +462,8 @@ def layer_row_counts(spark, folder):
 def idempotency_check(spark, folder):
     """Source to mart as stored tables, the second half run twice."""
     house = jobs.Lakehouse(new_folder(spark, "lakehouse"))
-    jobs.start_pipeline(spark, house, "retail", datetime(1995, 1, 1))
-    jobs.extract(spark, house, retail.sources(spark, folder), "retail", datetime(2002, 1, 1))
+    sources = retail.sources(spark, folder)
+    first, last = audit.change_bounds(sources.values(), "updated_at")
+    jobs.start_pipeline(spark, house, "retail", first - timedelta(days=1))
+    jobs.extract(spark, house, sources, "retail", last + timedelta(days=1))
     return checks.idempotency(spark, house, AS_OF, RUN_TS)
