@@ -22,13 +22,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten or more of them hold."""
-    return line_index.drop_frequent_lines(docs).select(*docs.columns)
+    """Documents without the lines that ten or more different texts hold; copies are left to the next stage."""
+    return line_index.drop_frequent_lines(docs, equal_once=True).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each class of near-duplicates."""
-    return bag_minhash.one_of_each(docs)
+    """The first document of each class of near-duplicates; all texts without words are one class."""
+    return bag_minhash.one_of_each(docs, wordless_alone=False)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

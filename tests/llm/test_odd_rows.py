@@ -217,3 +217,26 @@ def test_pipeline(spark, small):
     rows = corpus_pipeline.run(spark, small).collect()
     assert rows and all(r["n_tokens"] * 4 == len(r["ids"]) for r in rows)
     assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_one_of_a_group_of_copies_keeps_its_lines(spark):
+    def text(i):
+        return "\n".join(" ".join(f"d{i}l{j}w{k}" for k in range(12)) for j in range(6))
+
+    common = "this line stands in every other text"
+    rows = [(i, text(0) if i % 2 else f" {text(0).upper()}\r", "en", "a", 1) for i in range(12)]
+    rows += [(20 + i, f"{common}\n{text(20 + i)}", "en", "a", 1) for i in range(10)]
+    rows += [(40 + i, common if i else None, "en", "a", 1) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.near_dedup(spark, corpus_pipeline.line_dedup(spark, docs, ""), "").collect()
+    found = {r["doc_id"]: r["text"] for r in left}
+    assert len(left) == len(found) and set(found) == {0, *range(20, 30), 40}
+    assert found[0] == rows[0][1] and not found[40]
+    assert all(found[20 + i] == text(20 + i) for i in range(10))
+
+
+def test_equal_lines_have_the_key_of_the_index(spark):
+    texts = ["A b\n\n c", "a B \t\n c\n", "c\na b", "\u00c4 b\nc", None, "", " \n"]
+    keys = [r[0] for r in spark.createDataFrame([(x,) for x in texts], "text string").select(line_index.lines_key()).collect()]
+    plain = [tuple(k for k in map(line_index.line_key, (x or "").encode().split(b"\n")) if k) for x in texts]
+    assert [[a == b for b in keys] for a in keys] == [[a == b for b in plain] for a in plain]

@@ -210,17 +210,22 @@ def _links_within(band: int, rows: pa.StructArray, least: float) -> list[tuple[i
     return links
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicates(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, wordless_alone: bool = True
+) -> DataFrame:
     """``__key, doc_id, class_id, is_first`` of each row: the class of texts that links of ``similarity`` connect.
 
     Words are split at ASCII white space and A-Z taken as a-z; a text of fewer
     than five words is one shingle. ``class_id`` is the smallest id in the class,
     and rows with it are first (of several rows without an id, that with the
     smallest key; ids come before none). Null texts and texts without words are
-    each a class of their own. ``__key`` is the row key of id and text, so repeated
-    rows have the same.
+    each a class of their own, unless ``wordless_alone`` is false: then they are
+    one class, as their multisets are equal. ``__key`` is the row key of id and
+    text, so repeated rows have the same.
     """
     sketched = materialize(sketch(df, doc_id, text), "sketches")
+    if not wordless_alone:
+        sketched = sketched.withColumn("node", F.coalesce("node", F.lit(0)))  # the fingerprint of no shingles
     place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("__key").alias("key"))
     firsts = sketched.filter("node IS NOT NULL").groupBy("node").agg(
         F.min(place).alias("first"),
@@ -261,7 +266,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
 
 
 def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The first document of each class, with its own columns; of repeated rows one. Texts without words all stay."""
+    """The first document of each class, with its own columns; of repeated rows one. Texts without words all stay, unless told otherwise."""
     classes = near_duplicates(df, doc_id, text, **options)
     first = classes.filter("is_first").select("__key").distinct()
     keyed = df.withColumn("__key", row_key(doc_id, text)).join(first, "__key", "left_semi")

@@ -16,12 +16,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACES, in_slices, mix, row_key, utf8
@@ -227,6 +228,13 @@ def shard_count(df: DataFrame, text: str = "text") -> int:
     return max(LEAST_SHARDS, -(-size // SHARD_BYTES))
 
 
+def lines_key(text: str = "text") -> Column:
+    """A key of the text's line keys in order, empty ones left out; null counts as empty."""
+    spaces = F.lit(SPACES.decode())
+    lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: F.translate(F.btrim(x, spaces), ascii_uppercase, ascii_lowercase))
+    return F.xxhash64(F.filter(lines, lambda x: x != ""))
+
+
 def drop_frequent_lines(
     df: DataFrame,
     min_docs: int = 10,
@@ -234,19 +242,26 @@ def drop_frequent_lines(
     text: str = "text",
     doc_id: str = "doc_id",
     shards: int | None = None,
+    equal_once: bool = False,
 ) -> DataFrame:
     """Remove from every text the lines whose key at least ``min_docs`` documents hold.
 
     Replaces the text and adds n_lines (before), n_dropped and kept_sha256 (of the
     new text); columns with these names are replaced. Each row is a document,
-    also repeated ones. A null or empty text is one empty line; its text stays
-    as it is. Lines are known by 64-bit hashes.
+    also repeated ones; with ``equal_once`` all rows with equal lines count as one
+    document, so that copies alone do not make their lines frequent. A null or
+    empty text is one empty line; its text stays as it is. Lines are known by
+    64-bit hashes.
     """
     added = ["n_lines", "n_dropped", "kept_sha256"]
     own = df.drop(*added)
     keyed = own.withColumn("__key", row_key(doc_id, text))
-    packed = materialize(pack_lines(keyed, shards or shard_count(own, text), text, min_chars), "line-blocks")
-    index = materialize(build_index(packed), "line-index")
+    shards = shards or shard_count(own, text)
+    packed = counted = materialize(pack_lines(keyed, shards, text, min_chars), "line-blocks")
+    if equal_once:
+        single = own.select(lines_key(text).alias("__key"), text).dropDuplicates(["__key"])
+        counted = materialize(pack_lines(single, shards, text, min_chars), "line-blocks-once")
+    index = materialize(build_index(counted), "line-index")
     joined = keyed.join(frequent_lines(packed, index, min_docs), "__key", "left").drop("__key")
     columns = own.columns
     schema = own.select(*[F.col(c) for c in columns]).schema
