@@ -17,7 +17,7 @@ from tidemark.sources.shared import materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules accept."""
+    """Documents that the quality rules accept, without the lines that are boilerplate of their source."""
     return line_frequency.accepted(docs)
 
 

@@ -42,6 +42,22 @@ def test_boilerplate_depletes_a_document(spark):
     assert [r["doc_id"] for r in judged.filter("NOT kept AND NOT base_failed").collect()] == [0]
 
 
+def test_boilerplate_is_removed_from_the_texts(spark, odd):
+    common = "Home  | About"
+    own = ["\n".join(" ".join(f"w{i}x{j}y{k}" for k in range(20)) for j in range(4)) for i in range(30)]
+    rows = [(i, f"{own[i][:50]}\n {common.upper()}\t\n\n{own[i][50:]}\n{common}", "h" if i % 2 else None) for i in range(30)]
+    rows += [(30 + i, f"{common}\n{own[i]}", "other") for i in range(5)] + [(35, None, "h"), (36, "", None), (37, common, "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plain = {i: f"{own[i][:50]}\n\n{own[i][50:]}" for i in range(30)}
+    found = {r["doc_id"]: r["text"] for r in line_frequency.without_boilerplate(docs).collect()}
+    assert found == {**{r[0]: r[1] for r in rows[30:]}, **plain, 37: ""}
+    kept = {r["doc_id"]: r["text"] for r in line_frequency.accepted(docs).collect()}
+    assert kept == {**plain, **{r[0]: r[1] for r in rows[30:35]}}
+    same = [{r["doc_id"] for r in x.collect()} for x in (line_frequency.judge(docs).filter("kept"), line_frequency.accepted(docs))]
+    assert same[0] == same[1]
+    assert line_frequency.without_boilerplate(odd).exceptAll(odd).count() == 0
+
+
 def test_line_index(odd, none):
     rows = line_index.drop_frequent_lines(odd, min_docs=3).collect()
     empty = hashlib.sha256(b"").hexdigest()

@@ -107,35 +107,69 @@ def boilerplate(df: DataFrame, lines: DataFrame, host: str, text: str, min_docs:
     return counts.join(known, "_host").filter(F.col("_docs") > F.col("_most")).select("_line")
 
 
-def depleted(
-    df: DataFrame, host: str, text: str, min_docs: int = 10, max_share: float = 0.1, least_left: float = 0.3
-) -> DataFrame:
-    """``__key`` of the texts of which less than ``least_left`` (by characters of different lines) is no boilerplate."""
+def losses(df: DataFrame, host: str, text: str, min_docs: int = 10, max_share: float = 0.1) -> DataFrame:
+    """``__key, _common, _lost, _total`` of the texts with boilerplate: its lines, their characters, and those of all lines."""
     lines = line_rows(df, host, text)
     common = boilerplate(df, lines, host, text, min_docs, max_share)
-    lost = lines.join(common, "_line", "left_semi").groupBy("__key").agg(
-        F.sum("_chars").alias("_lost"), F.max("_total").alias("_total")
+    return lines.join(common, "_line", "left_semi").groupBy("__key").agg(
+        F.collect_set("_line").alias("_common"), F.sum("_chars").alias("_lost"), F.max("_total").alias("_total")
     )
-    return lost.filter(F.col("_total") - F.col("_lost") < least_left * F.col("_total")).select("__key")
 
 
-def judge(df: DataFrame, host: str = "source", text: str = "text", keep: list[str] | None = None, **limits) -> DataFrame:
+def _bare(least_left: float) -> Column:
+    """Whether less than ``least_left`` of a text with boilerplate (by characters of different lines) is none."""
+    return F.col("_total") - F.col("_lost") < least_left * F.col("_total")
+
+
+def _without(host: str, text: str) -> Column:
+    """The text without the lines in ``_common``."""
+    known = F.xxhash64(host)
+    lines = F.filter(
+        F.split(F.col(text), "\n", -1),
+        lambda x: ~F.array_contains("_common", F.xxhash64(known, F.lower(F.btrim(x, F.lit(SPACES))))),
+    )
+    return F.when(F.col("_common").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
+
+
+def without_boilerplate(df: DataFrame, host: str = "source", text: str = "text", **limits) -> DataFrame:
+    """All rows, their texts without the lines above the limits; the lines left are as they were, in order."""
+    keyed = df.withColumn("__key", F.xxhash64(host, text))
+    joined = keyed.join(losses(df, host, text, **limits).select("__key", "_common"), "__key", "left")
+    return joined.withColumn(text, _without(host, text)).select(*df.columns)
+
+
+def judge(
+    df: DataFrame,
+    host: str = "source",
+    text: str = "text",
+    keep: list[str] | None = None,
+    least_left: float = 0.3,
+    remove: bool = False,
+    **limits,
+) -> DataFrame:
     """Add the text counts, base_failed and kept to the columns ``keep`` (all, unless given); no row is lost.
 
-    Null and empty texts have no lines to lose and fail the base rules.
-    Documents without a host form one host of their own. Rows that agree in host
-    and text count once and are judged alike, so repeated rows and ids are
-    harmless. Columns named like those added are replaced.
+    Null and empty texts have no lines to lose and fail the base rules, which
+    judge the text as it was. Documents without a host form one host of their
+    own. Rows that agree in host and text count once and are judged alike, so
+    repeated rows and ids are harmless. Columns named like those added are
+    replaced. With ``remove`` the texts are without the lines above the limits.
     """
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     own = df.drop(*made)
-    bare = depleted(own, host, text, **limits).withColumn("_bare", F.lit(True))
+    lost = losses(own, host, text, **limits)
     counted = text_counts(own.withColumn("__key", F.xxhash64(host, text)), text)
-    counted = counted.select(*[c for c in (keep or own.columns) if c not in made], "__key", *made[:-1])
-    judged = counted.join(bare, "__key", "left")
-    return judged.withColumn("kept", ~F.col("base_failed") & F.col("_bare").isNull()).drop("__key", "_bare")
+    names = [c for c in (keep or own.columns) if c not in made]
+    if remove:
+        judged = counted.join(lost.withColumn("_bare", _bare(least_left)).drop("_lost", "_total"), "__key", "left")
+        judged = judged.withColumn(text, _without(host, text))
+    else:
+        bare = lost.filter(_bare(least_left)).select("__key", F.lit(True).alias("_bare"))
+        judged = counted.select(*names, "__key", *made[:-1]).join(bare, "__key", "left")
+    kept = ~F.col("base_failed") & ~F.coalesce("_bare", F.lit(False))
+    return judged.withColumn("kept", kept).select(*names, *made)
 
 
 def accepted(df: DataFrame, **options) -> DataFrame:
-    """The documents that are kept, with their own columns."""
-    return judge(df, **options).filter("kept").select(*df.columns)
+    """The documents that are kept, with their own columns, without the lines above the limits."""
+    return judge(df, remove=True, **options).filter("kept").select(*df.columns)
