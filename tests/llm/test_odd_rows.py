@@ -58,6 +58,18 @@ def test_boilerplate_is_removed_from_the_texts(spark, odd):
     assert line_frequency.without_boilerplate(odd).exceptAll(odd).count() == 0
 
 
+def test_a_line_limit_that_does_not_grow_with_the_host(spark):
+    shared = " ".join(f"s{j}" for j in range(300))
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(60)) + (f"\n{shared}" if i % 20 == 0 else ""), "hot") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert line_frequency.judge(docs).filter("kept").count() == 800  # 5 % of the host is below its share
+    assert line_frequency.judge(docs, max_docs=40).filter("kept").count() == 800
+    judged = line_frequency.judge(docs, max_docs=39)
+    assert {r["doc_id"] for r in judged.filter("NOT kept").collect()} == set(range(0, 800, 20))
+    left = line_frequency.without_boilerplate(docs, max_docs=39).filter(F.col("text").contains(shared))
+    assert left.count() == 0
+
+
 def test_line_index(odd, none):
     rows = line_index.drop_frequent_lines(odd, min_docs=3).collect()
     empty = hashlib.sha256(b"").hexdigest()

@@ -99,18 +99,26 @@ def line_rows(df: DataFrame, host: str, text: str) -> DataFrame:
     ).distinct()
 
 
-def boilerplate(df: DataFrame, lines: DataFrame, host: str, text: str, min_docs: int, max_share: float) -> DataFrame:
-    """The lines that more than ``min_docs`` texts of a host hold, and more than ``max_share`` of all it has."""
+def boilerplate(
+    df: DataFrame, lines: DataFrame, host: str, text: str, min_docs: int, max_share: float, max_docs: int | None = None
+) -> DataFrame:
+    """The lines that more than ``min_docs`` texts of a host hold, and more than ``max_share`` of all it has.
+
+    A line of more than ``max_docs`` texts needs no share, however large the host is.
+    """
     counts = lines.groupBy("_host", "_line").agg(F.count("*").alias("_docs")).filter(F.col("_docs") > min_docs)
     texts = df.select(F.xxhash64(host).alias("_host"), F.xxhash64(host, text).alias("__key")).distinct()
-    known = texts.groupBy("_host").agg((F.count("*") * max_share).alias("_most"))
+    most = F.count("*") * max_share
+    known = texts.groupBy("_host").agg((most if max_docs is None else F.least(most, F.lit(float(max_docs)))).alias("_most"))
     return counts.join(known, "_host").filter(F.col("_docs") > F.col("_most")).select("_line")
 
 
-def losses(df: DataFrame, host: str, text: str, min_docs: int = 10, max_share: float = 0.1) -> DataFrame:
+def losses(
+    df: DataFrame, host: str, text: str, min_docs: int = 10, max_share: float = 0.1, max_docs: int | None = None
+) -> DataFrame:
     """``__key, _common, _lost, _total`` of the texts with boilerplate: its lines, their characters, and those of all lines."""
     lines = line_rows(df, host, text)
-    common = boilerplate(df, lines, host, text, min_docs, max_share)
+    common = boilerplate(df, lines, host, text, min_docs, max_share, max_docs)
     return lines.join(common, "_line", "left_semi").groupBy("__key").agg(
         F.collect_set("_line").alias("_common"), F.sum("_chars").alias("_lost"), F.max("_total").alias("_total")
     )
