@@ -174,6 +174,18 @@ def test_language(odd, none):
     assert {r["lang_pred"] for r in ppm_language.identify(odd, None).collect()} == {"und"}
 
 
+def test_a_rare_language_is_learned_beside_a_large_one(spark):
+    signs = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789 .,;:-", dtype=np.uint8)
+    large = signs[np.random.default_rng(1).integers(0, len(signs), 1_500_000)].tobytes().decode()
+    rare = "\u03ba\u03b1\u03bb\u03b7\u03bc\u03ad\u03c1\u03b1 \u03ba\u03cc\u03c3\u03bc\u03b5"
+    texts = spark.createDataFrame([(large, "large"), (large, "large"), (rare, "rare"), (None, "none")], "text string, lang string")
+    model = ppm_language.train(texts)
+    assert model.names == ["large", "rare"]
+    assert len(model._leaves) == len(np.unique([*ppm_language.grams(ppm_language.plain_bytes(large.encode(), 4), 4), *ppm_language.grams(ppm_language.plain_bytes(rare.encode(), 4), 4)]))
+    found = ppm_language.identify(texts.filter("lang = 'rare'"), model).first()
+    assert found["lang_pred"] == "rare"
+
+
 def test_code_lengths_are_those_of_the_definition():
     text = b"abracadabra"
     codes, times = np.unique(ppm_language.grams(ppm_language.plain_bytes(text, 4), 4), return_counts=True)

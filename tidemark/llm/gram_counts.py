@@ -74,15 +74,3 @@ def count_grams(df: DataFrame, text: str, group: str, order: int) -> DataFrame:
 
     found = df.select(F.col(group).alias("name"), text).mapInArrow(count, "name string, gram long, times long")
     return found.groupBy(F.col("name").alias(group), "gram").agg(F.sum("times").alias("times"))
-
-
-def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
-    """The n-grams that occur so often that at most ``limit`` of them do."""
-    levels = counts.groupBy("times").agg(F.count("*").alias("n")).orderBy(F.desc("times"))
-    total, least = 0, 1
-    for row in levels.toLocalIterator():
-        total += row["n"]
-        if total > limit:
-            least = row["times"] + 1
-            break
-    return counts.filter(F.col("times") >= least)

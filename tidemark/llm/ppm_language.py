@@ -20,12 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import utf8
-from tidemark.llm.gram_counts import count_grams, grams, most_frequent, plain_bytes
+from tidemark.llm.gram_counts import count_grams, grams, plain_bytes
 from tidemark.sources.shared import materialize
 
 ORDER = 4  # the longest context and the byte after it
-# The trees of all languages together keep at most so many of the most frequent leaves.
-MAX_LEAVES = 1_000_000
 _LETTER = re.compile(r"[^\W\d_]")
 _STEP = 1 << 20
 # A text's bytes are not independent: so much of the code length counts as evidence, in nats for a byte.
@@ -119,11 +117,10 @@ class LanguageModel:
         return self.names[best], float(1 / weights.sum())
 
 
-def train(df: DataFrame, text: str = "text", lang: str = "lang", max_leaves: int = MAX_LEAVES) -> LanguageModel | None:
-    """Count all rows that have a language; None if there are none."""
+def train(df: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel | None:
+    """Count all rows that have a language, every n-gram of them; None if there are none."""
     counts = count_grams(df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()), text, lang, ORDER)
-    stored = materialize(counts, "language-counts")
-    rows = most_frequent(stored, max_leaves).toArrow()
+    rows = materialize(counts, "language-counts").toArrow()
     if not rows.num_rows:
         return None
     names = np.array(rows.column(lang).to_pylist())
