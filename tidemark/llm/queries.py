@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bag_minhash, chunked_bpe, id_blocks, line_frequency, line_index, mixing, nn_descent, ppm_language, toxicity, warc_zst
-from tidemark.llm.common import fold, ship, table
+from tidemark.llm import bag_minhash, chunked_bpe, id_blocks, line_frequency, line_index, mixing, nn_descent, periodic_runs, ppm_language, toxicity, warc_zst
+from tidemark.llm.common import fold, let, ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -161,3 +161,37 @@ def op6_bag_minhash(spark, folder):
 @query
 def op2_nn_descent(spark, folder):
     return nn_descent.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def _planted(doc_id, text):
+    """The text; where the CRC-32 of the id ends in 0, with its last words replaced by a period of some of them."""
+    crc = F.crc32(doc_id.cast("string").cast("binary"))
+
+    def repeat(words):
+        n, g = F.size(words).cast("long"), F.call_function("div", crc, F.lit(10))
+        first = g % n
+        period = F.call_function("div", n - first, 3 + g % 8) + 1
+        place = F.sequence(F.lit(0).cast("long"), n - 1)
+        origin = let(first, lambda a: let(period, lambda p: F.transform(place, lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))))
+        return F.array_join(F.transform(origin, lambda i: F.get(words, i.cast("int"))), " ")
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    return F.when(crc % 10 == 0, let(words, lambda w: F.when(F.size(w) > 0, repeat(w)).otherwise(text))).otherwise(text)
+
+
+@query
+def op11_periodic_runs(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", _planted(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.periodic_runs(docs)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length, -r.start, -r.period, r.period.alias("q"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.col2")).alias("start"),
+        F.col("longest.length").alias("length"),
+        F.col("longest.q").alias("period"),
+        F.expr("1000 * longest.length div longest.q").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
