@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bag_minhash, chunked_bpe, id_blocks, line_frequency, line_index, mixing, nn_descent, periodic_runs, ppm_language, toxicity, warc_zst
+from tidemark.llm import bag_minhash, cap_filters, chunked_bpe, id_blocks, line_frequency, line_index, mixing, nn_descent, periodic_runs, ppm_language, toxicity, warc_zst
 from tidemark.llm.common import fold, let, ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,3 +195,9 @@ def op11_periodic_runs(spark, folder):
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_cap_filters(spark, folder):
+    found = cap_filters.near_vectors(table(spark, folder, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
