@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bag_minhash, cap_filters, chunked_bpe, id_blocks, line_frequency, line_index, mixing, nn_descent, periodic_runs, ppm_language, toxicity, warc_zst
+from tidemark.llm import bag_minhash, cap_filters, chunked_bpe, id_blocks, line_frequency, line_index, mixing, nn_descent, periodic_runs, phrases, ppm_language, toxicity, warc_zst
 from tidemark.llm.common import fold, let, ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +201,38 @@ def op11_periodic_runs(spark, folder):
 def op12_cap_filters(spark, folder):
     found = cap_filters.near_vectors(table(spark, folder, "embeddings"))
     return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+@query
+def op13_phrases(spark, folder):
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+ORACLE["op13_phrases"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(body, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+sized AS (SELECT lang, w, i, unnest(range(1, least(4, len(w) - i + 1) + 1)) AS size FROM placed),
+counts AS (SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, size, count(*) AS f FROM sized GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND f >= 30),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.k, x.f AS l, y.f AS r,
+         (CAST(2000000 AS HUGEINT) * c.f) // (CAST(x.f AS HUGEINT) + y.f) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+              JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+lengths AS (SELECT *, unnest(range(2, size)) AS length FROM candidates),
+starts AS (SELECT *, unnest(range(1, size - length + 2)) AS start FROM lengths),
+longer AS (
+  SELECT lang, array_to_string(w[start:start + length - 1], ' ') AS phrase, max(f) AS f FROM starts GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN longer x USING (lang, phrase)
+  WHERE NOT coalesce(CAST(100 AS HUGEINT) * x.f >= CAST(80 AS HUGEINT) * s.a, FALSE)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
