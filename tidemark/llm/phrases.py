@@ -242,7 +242,8 @@ def collocations(
     covered = F.col("longer").cast(_WHOLE) * 100 >= F.col("times").cast(_WHOLE) * COVERED
     kept = lowest.join(longer, ["group", "phrase"], "left").filter(~F.coalesce(covered, F.lit(False)))
     order = Window.partitionBy("group").orderBy(F.desc("cut.score"), F.desc("times"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+    ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    ranked = ranked.withColumn("rank", F.col("rank").cast("long"))
     return ranked.join(totals, "group").select(
         F.col("group").alias(group), "rank", "phrase", F.col("times").alias("a"), "cut.l", "cut.r", F.col("words").alias("n"), "cut.score"
     )
