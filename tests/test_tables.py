@@ -58,6 +58,22 @@ def test_repeated_source_key_fails(spark):
         upsert(pairs(spark), source, "k").collect()
 
 
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_upsert_scans_and_shuffles_each_side_once(spark, folder):
+    """Also where the source is checked for repeated keys and older rows are kept back."""
+    for name, rows in (("target", [(1, "a", 1), (2, "b", 1)]), ("source", [(2, "B", 1), (3, "C", 1)])):
+        pairs(spark, *rows).withColumn("copy", F.lit(0)).withColumn("offered", F.lit(0)).write.parquet(f"{folder}/{name}")
+    target, source = (spark.read.parquet(f"{folder}/{n}") for n in ("target", "source"))
+    for newer_by in (None, "updated_at"):
+        merged = upsert(target, source, "k", newer_by, nullable_key=False)
+        assert scans(merged) == 2
+        assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+        assert merged.columns == target.columns and merged.count() == 3
+
+
 def test_upsert_needs_equal_columns(spark):
     with pytest.raises(ValueError, match="columns differ"):
         upsert(pairs(spark), pairs(spark).drop("v"), "k")

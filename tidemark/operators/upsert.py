@@ -6,16 +6,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _free_name(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def _once_per_key(source: DataFrame, key: str) -> DataFrame:
     """Fail the job when the source holds a key twice, as a MERGE would.
 
     Row numbers stream through the sorted partition, so nothing is buffered,
     and the shuffle on the key is the one the join needs anyway.
     """
+    copy = _free_name(source, "copy")
     number = F.row_number().over(Window.partitionBy(key).orderBy(key))
     message = F.concat(F.lit(f"upsert source has a repeated {key}: "), F.col(key).cast("string"))
-    checked = F.assert_true(F.col(key).isNull() | (F.col("_copy") == 1), message)
-    return source.withColumn("_copy", number).filter(checked.isNull()).drop("_copy")
+    checked = F.assert_true(F.col(key).isNull() | (F.col(copy) == 1), message)
+    return source.withColumn(copy, number).filter(checked.isNull()).drop(copy)
 
 
 def upsert(
@@ -28,10 +35,11 @@ def upsert(
 ) -> DataFrame:
     """The target after merging ``source`` into it by ``key``.
 
-    Null keys match nothing: such rows of both sides pass by the join, however
-    many there are. Tables whose rules exclude null keys can set
-    ``nullable_key=False`` and save that second look at the rows. With ``newer_by``, a target row that is newer than
-    its source row is kept, which makes replayed batches harmless. Set
+    One full outer join, which reads and shuffles each side once. Null keys match
+    nothing: such rows of both sides pass by the join, however many there are.
+    Tables whose rules exclude null keys can set ``nullable_key=False`` and save
+    that second look at the rows. With ``newer_by``, a target row that is newer
+    than its source row is kept, which makes replayed batches harmless. Set
     ``check_unique=False`` only for a source already reduced to one row per key.
     """
     if set(target.columns) != set(source.columns):
@@ -44,17 +52,15 @@ def upsert(
         return keyed.unionByName(passing)
     if check_unique:
         source = _once_per_key(source, key)
+    offered = _free_name(source, "offered")
+    old, new = target.alias("old"), source.withColumn(offered, F.lit(True)).alias("new")
+    joined = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
+    replaced = F.col(f"new.{offered}").isNotNull()
     if newer_by is not None:
-        offered = source.select(F.col(key), F.col(newer_by).alias("_offered"))
-        outdated = (
-            target.select(key, newer_by)
-            .join(offered, key)
-            .filter(F.col(newer_by) > F.col("_offered"))
-            .select(key)
-        )
-        source = source.join(outdated, key, "left_anti")
-    untouched = target.join(source.select(key), key, "left_anti")
-    return untouched.select(*target.columns).unionByName(source)
+        replaced &= ~F.coalesce(F.col(f"old.{newer_by}") > F.col(f"new.{newer_by}"), F.lit(False))
+    return joined.select(
+        *[F.when(replaced, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in target.columns]
+    )
 
 
 def merge_into(source: DataFrame, table: str, key: str) -> None:
