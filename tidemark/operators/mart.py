@@ -8,35 +8,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import spec
-from tidemark.functions import as_cents, churn_band, from_cents, mean_cents, rfm_code, rfm_segment, share_tenths
+from tidemark.functions import churn_band, from_cents, mean_cents, rfm_code, rfm_segment, share_tenths
 from tidemark.operators.dimensions import load_time
 from tidemark.operators.ranking import RFM_MEASURES, PICK_ROWS, percentile_scores, tile_scores
+from tidemark.operators.totals import customer_totals
 from tidemark.sources.shared import materialize
 
 CUSTOMER_ATTRIBUTES = ["customer_id", "name", "email", "region", "tier"]
 
 
-def customer_profile(
-    orders: DataFrame, customers: DataFrame, as_of: date, keep_unknown: bool = False
+def profile_of_totals(
+    totals: DataFrame, customers: DataFrame, as_of: date, keep_unknown: bool = False
 ) -> DataFrame:
-    """Order history per customer, one row per customer with an order.
+    """The order history of customers whose totals are known; customers without orders are left out.
 
-    The facts are aggregated by surrogate key first and only then meet the
-    customer attributes, so a hot key (the unknown member in particular) is
-    reduced before any shuffle and the attributes are never grouped on. The
-    unknown member is dropped, or kept with null attributes.
+    The unknown member is dropped, or kept with null attributes.
     """
-    per_customer = orders.groupBy("customer_key").agg(
-        F.min("created_at").alias("first_order_date"),
-        F.max("created_at").alias("last_order_date"),
-        F.count("order_key").alias("total_orders"),
-        F.sum(as_cents(F.col("total_amount"))).alias("cents"),
-        F.sum("item_count").alias("total_items"),
-    )
+    held = totals.filter("total_orders > 0")
     if not keep_unknown:
-        per_customer = per_customer.filter(F.col("customer_key") != spec.UNKNOWN_KEY)
+        held = held.filter(F.col("customer_key") != spec.UNKNOWN_KEY)
     attributes = customers.select("customer_key", *CUSTOMER_ATTRIBUTES)
-    joined = per_customer.join(attributes, "customer_key", "left" if keep_unknown else "inner")
+    joined = held.join(attributes, "customer_key", "left" if keep_unknown else "inner")
     return joined.select(
         "customer_key",
         *CUSTOMER_ATTRIBUTES,
@@ -50,6 +42,17 @@ def customer_profile(
     )
 
 
+def customer_profile(
+    orders: DataFrame, customers: DataFrame, as_of: date, keep_unknown: bool = False
+) -> DataFrame:
+    """Order history per customer, one row per customer with an order.
+
+    The facts are aggregated by surrogate key first and only then meet the
+    customer attributes, which are never grouped on.
+    """
+    return profile_of_totals(customer_totals(orders), customers, as_of, keep_unknown)
+
+
 def score_profile(profile: DataFrame, method: str = "tiles", pick_rows: int = PICK_ROWS) -> DataFrame:
     """The profile with ``r_score``, ``f_score`` and ``m_score``.
 
@@ -61,20 +64,12 @@ def score_profile(profile: DataFrame, method: str = "tiles", pick_rows: int = PI
     return scorers[method](stored, "customer_key", RFM_MEASURES, stored.count(), pick_rows=pick_rows)
 
 
-def build_mart(
-    orders: DataFrame,
-    customers: DataFrame,
-    as_of: date,
-    run_ts: datetime | None = None,
-    method: str = "tiles",
-    keep_unknown: bool = False,
-    pick_rows: int = PICK_ROWS,
+def mart_of_profile(
+    profile: DataFrame, run_ts: datetime | None = None, method: str = "tiles", pick_rows: int = PICK_ROWS
 ) -> DataFrame:
     """The flat customer mart: profile, scores, segment and churn band."""
-    profile = customer_profile(orders, customers, as_of, keep_unknown)
-    scored = score_profile(profile, method, pick_rows)
     return spec.MART.conform(
-        scored.withColumns(
+        score_profile(profile, method, pick_rows).withColumns(
             {
                 "rfm_score": rfm_code(),
                 "rfm_segment": rfm_segment(),
@@ -85,6 +80,19 @@ def build_mart(
     )
 
 
+def build_mart(
+    orders: DataFrame,
+    customers: DataFrame,
+    as_of: date,
+    run_ts: datetime | None = None,
+    method: str = "tiles",
+    keep_unknown: bool = False,
+    pick_rows: int = PICK_ROWS,
+) -> DataFrame:
+    """The mart of the facts and the customers."""
+    return mart_of_profile(customer_profile(orders, customers, as_of, keep_unknown), run_ts, method, pick_rows)
+
+
 def mart_metrics(mart: DataFrame) -> DataFrame:
     """Validation figures of the mart, one row per metric, from one pass."""
     days, n = F.sum("recency_days"), F.count(F.lit(1))

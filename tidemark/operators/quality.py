@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 Rules = Mapping[str, "str | Column"]
 
+# The label of rows that break no rule.
+PASSED = "passed"
+
 
 def _condition(rule: str | Column) -> Column:
     return F.expr(rule) if isinstance(rule, str) else rule
@@ -43,6 +46,11 @@ def rejected(df: DataFrame, rules: Rules, column: str = "broken_rule") -> DataFr
     return df.withColumn(column, first_broken(rules)).filter(F.col(column).isNotNull())
 
 
+def labelled(df: DataFrame, rules: Rules, column: str = "broken_rule") -> DataFrame:
+    """Every row with the first rule it breaks, or ``passed``."""
+    return df.withColumn(column, F.coalesce(first_broken(rules), F.lit(PASSED)))
+
+
 def drop_counts(df: DataFrame, rules: Rules) -> DataFrame:
     """One row per rule, in order, with the rows it drops (zero included).
 

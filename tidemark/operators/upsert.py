@@ -63,14 +63,9 @@ def upsert(
     )
 
 
-def merge_into(source: DataFrame, table: str, key: str) -> None:
+def merge_into(source: DataFrame, table: str, key: str, newer_by: str | None = None) -> None:
     """The same upsert as a MERGE on a catalog table whose format supports it (Delta, Iceberg)."""
-    (
-        source.alias("source")
-        .mergeInto(table, F.col(f"{table}.{key}") == F.col(f"source.{key}"))
-        .whenMatched()
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-        .merge()
-    )
+    outdated = None if newer_by is None else F.col(f"{table}.{newer_by}") > F.col(f"source.{newer_by}")
+    merge = source.alias("source").mergeInto(table, F.col(f"{table}.{key}") == F.col(f"source.{key}"))
+    matched = merge.whenMatched() if outdated is None else merge.whenMatched(~F.coalesce(outdated, F.lit(False)))
+    matched.updateAll().whenNotMatched().insertAll().merge()

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import spec
@@ -16,11 +16,14 @@ from tidemark.operators.changes import advance_watermark, changes, read_watermar
 from tidemark.operators.dedup import latest_by_key
 from tidemark.operators.dimensions import dim_customer, dim_date, dim_product
 from tidemark.operators.facts import fact_order_items, fact_orders
-from tidemark.operators.mart import build_mart
-from tidemark.operators.quality import drop_counts
-from tidemark.plans.layers import trusted
+from tidemark.operators.mart import mart_of_profile, profile_of_totals
+from tidemark.operators.totals import customer_totals, whole_totals
+from tidemark.operators.upsert import merge_into
+from tidemark.sources.checked import passed, read_checked, store_checked, stored_drop_counts
+from tidemark.sources.footers import footer_count
 from tidemark.sources.ranges import merge_ranges, read_ranges
-from tidemark.sources.raw import raw_exists, read_raw, write_batch
+from tidemark.sources.raw import batch_path, raw_exists, read_raw, write_batch
+from tidemark.sources.shared import delete_empty
 from tidemark.sources.snapshots import current_version, merge_snapshot, read_snapshot, write_snapshot
 from tidemark.spec import TableSpec
 
@@ -31,11 +34,13 @@ class Lakehouse:
 
     Tables are stored as snapshots. A large table whose keys grow with time is
     better listed in ``key_spans`` with the number of keys per range; merging
-    then rewrites only the ranges a batch touches.
+    then rewrites only the ranges a batch touches. ``merge_tables`` names the
+    catalog tables of those kept in a format that supports MERGE.
     """
 
     root: str
     key_spans: Mapping[str, int] = field(default_factory=dict)
+    merge_tables: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def raw(self) -> str:
@@ -48,6 +53,12 @@ class Lakehouse:
     def progress(self, table: str) -> str:
         return f"{self.root}/progress/{table}"
 
+    def checked(self, table: str, batch: str) -> str:
+        return f"{self.root}/checked/{table}/{batch}"
+
+    def increment(self, batch: str) -> str:
+        return f"{self.root}/increments/{batch}"
+
     def silver(self, table: str) -> str:
         return f"{self.root}/silver/{table}"
 
@@ -58,14 +69,18 @@ class Lakehouse:
 def merge_table(
     source: DataFrame, house: Lakehouse, path: str, table: TableSpec, newer_by: str | None = None
 ) -> None:
-    """Upsert the rows into a stored table, by range or as a new snapshot."""
-    if table.name in house.key_spans:
+    """Upsert the rows into a stored table: by MERGE, by range or as a new snapshot."""
+    if table.name in house.merge_tables:
+        merge_into(table.conform(source), house.merge_tables[table.name], table.key, newer_by)
+    elif table.name in house.key_spans:
         merge_ranges(source, path, table, house.key_spans[table.name], newer_by)
     else:
         merge_snapshot(source, path, table, newer_by)
 
 
 def read_table(spark: SparkSession, house: Lakehouse, path: str, table: TableSpec) -> DataFrame:
+    if table.name in house.merge_tables:
+        return spark.table(house.merge_tables[table.name])
     if table.name in house.key_spans:
         return read_ranges(spark, path, table)
     return read_snapshot(spark, path, table)
@@ -101,8 +116,9 @@ def extract(
 ) -> Extraction:
     """Land each table's changes since the watermark, then advance the watermark.
 
-    One window, ending at ``batch_end``, serves all tables. A table without
-    changes is skipped. ``table_prefix`` is what the source's table names start
+    One window, ending at ``batch_end``, serves all tables. The source is read
+    once: what the write left in the footers tells how many rows there were, and a
+    batch without any is taken away again. ``table_prefix`` is what the source's table names start
     with and the raw layer's do not. The watermark moves only after every write returned: if
     one fails, the error goes up, the next run reads the same window again, and
     the rows landed twice are resolved by the trusted layer.
@@ -112,13 +128,12 @@ def extract(
     rows = {}
     for source_name, source in sources.items():
         name = source_name.removeprefix(table_prefix)
-        changed = changes(source, start, batch_end)
-        if changed.isEmpty():
-            rows[name] = 0
-            continue
-        landed = Observation()
-        write_batch(changed.observe(landed, F.count(F.lit(1)).alias("rows")), house.raw, name, batch_end)
-        rows[name] = landed.get["rows"]
+        path = batch_path(house.raw, name, batch_end)
+        before = footer_count(spark, path)
+        write_batch(changes(source, start, batch_end), house.raw, name, batch_end)
+        rows[name] = footer_count(spark, path) - before
+        if not before and not rows[name]:
+            delete_empty(spark, path, house.raw)
     moved = spark.range(1).select(
         F.lit(pipeline).alias("pipeline_name"),
         moment(batch_end).alias("last_watermark"),
@@ -128,6 +143,25 @@ def extract(
     return Extraction(start, batch_end, rows)
 
 
+EVERYTHING = "all"
+
+
+def check_raw(
+    spark: SparkSession,
+    house: Lakehouse,
+    table: TableSpec,
+    after: str | None = None,
+    dedup_first: bool = False,
+    batch: str = EVERYTHING,
+    again: bool = True,
+) -> DataFrame:
+    """The raw rows of a table, each stored under the first rule it breaks; raw is read once."""
+    rows = table.conform(read_raw(spark, house.raw, table, after=after))
+    if dedup_first:
+        rows = latest_by_key(rows, table.key, table.changed_at)
+    return store_checked(rows, house.checked(table.name, batch), table, again)
+
+
 def update_silver(
     spark: SparkSession, house: Lakehouse, after: str | None = None, dedup_first: bool = False
 ) -> dict[str, dict[str, int]]:
@@ -135,20 +169,27 @@ def update_silver(
 
     With ``after``, a batch label, only later batches are read: the others'
     folders are pruned. Such a run may see rows older than the trusted ones, so
-    newer trusted rows are kept.
+    newer trusted rows are kept. The trusted rows, the rejects (``checked``) and
+    the counts all come from the rows as they were stored by label.
     """
     dropped = {}
     for name, table in spec.SOURCE_TABLES.items():
         if not raw_exists(spark, house.raw, table):
             continue
-        rows = read_raw(spark, house.raw, table, after=after)
-        valid = trusted(rows, table, dedup_first)
+        checked = check_raw(spark, house, table, after, dedup_first)
+        valid = passed(checked)
+        if not dedup_first:
+            valid = latest_by_key(valid, table.key, table.changed_at)
         merge_table(valid, house, house.silver(name), table, None if after is None else table.changed_at)
-        checked = latest_by_key(rows, table.key, table.changed_at) if dedup_first else rows
-        dropped[name] = {r["rule"]: r["dropped"] for r in drop_counts(checked, table.rules).collect()}
+        dropped[name] = {r["rule"]: r["dropped"] for r in stored_drop_counts(checked, table).collect()}
     return dropped
 
 
+def rejected_rows(spark: SparkSession, house: Lakehouse, table: TableSpec, batch: str = EVERYTHING) -> DataFrame:
+    """The stored rows of a check that broke a rule, with its name."""
+    return read_checked(spark, house.checked(table.name, batch), table).filter("broken_rule <> 'passed'")
+
+
 def silver_tables(spark: SparkSession, house: Lakehouse) -> dict[str, DataFrame]:
     return {n: read_table(spark, house, house.silver(n), t) for n, t in spec.SOURCE_TABLES.items()}
 
@@ -157,33 +198,46 @@ def gold_tables(spark: SparkSession, house: Lakehouse) -> dict[str, DataFrame]:
     return {n: read_table(spark, house, house.gold(n), t) for n, t in spec.GOLD_TABLES.items()}
 
 
+def update_dimensions(
+    spark: SparkSession, house: Lakehouse, customers: DataFrame, run_ts: datetime | None = None
+) -> None:
+    """Merge these customers into their dimension, and create the generated dimensions where they are absent."""
+    merge_table(dim_customer(customers, run_ts), house, house.gold("dim_customer"), spec.DIM_CUSTOMER)
+    generated = {"dim_product": dim_product(spark, run_ts=run_ts), "dim_date": dim_date(spark)}
+    for name, rows in generated.items():
+        merge_table(rows, house, house.gold(name), spec.GOLD_TABLES[name])
+
+
+def build_facts(
+    orders: DataFrame, items: DataFrame, dimensions: Mapping[str, DataFrame], run_ts: datetime | None = None
+) -> dict[str, DataFrame]:
+    customers, products = dimensions["dim_customer"], dimensions["dim_product"]
+    return {
+        "fact_orders": fact_orders(orders, items, customers, run_ts),
+        "fact_order_items": fact_order_items(items, orders, customers, products, run_ts),
+    }
+
+
 def update_gold(spark: SparkSession, house: Lakehouse, run_ts: datetime | None = None) -> None:
-    """Merge dimensions, then facts; facts are built on the stored dimensions."""
+    """Merge dimensions, then facts, which are built on the stored dimensions, and total the orders of each customer."""
     tables = silver_tables(spark, house)
-    dimensions = {
-        "dim_customer": dim_customer(tables["customers"], run_ts),
-        "dim_product": dim_product(spark, run_ts=run_ts),
-        "dim_date": dim_date(spark),
-    }
-    for name, dimension in dimensions.items():
-        merge_table(dimension, house, house.gold(name), spec.GOLD_TABLES[name])
-    stored = gold_tables(spark, house)
-    facts = {
-        "fact_orders": fact_orders(tables["orders"], tables["order_items"], stored["dim_customer"], run_ts),
-        "fact_order_items": fact_order_items(
-            tables["order_items"], tables["orders"], stored["dim_customer"], stored["dim_product"], run_ts
-        ),
-    }
+    update_dimensions(spark, house, tables["customers"], run_ts)
+    facts = build_facts(tables["orders"], tables["order_items"], gold_tables(spark, house), run_ts)
     for name, fact in facts.items():
         merge_table(fact, house, house.gold(name), spec.GOLD_TABLES[name])
+    stored = read_table(spark, house, house.gold("fact_orders"), spec.FACT_ORDERS)
+    path, table = house.gold(spec.CUSTOMER_TOTALS.name), spec.CUSTOMER_TOTALS
+    held = read_table(spark, house, path, table)
+    merge_table(whole_totals(customer_totals(stored), held), house, path, table)
 
 
 def rebuild_mart(
     spark: SparkSession, house: Lakehouse, as_of: date, run_ts: datetime | None = None, method: str = "tiles"
 ) -> int:
     """Replace the mart with a new complete snapshot; its version."""
-    tables = gold_tables(spark, house)
-    mart = build_mart(tables["fact_orders"], tables["dim_customer"], as_of, run_ts, method)
+    totals = read_table(spark, house, house.gold(spec.CUSTOMER_TOTALS.name), spec.CUSTOMER_TOTALS)
+    customers = read_table(spark, house, house.gold("dim_customer"), spec.DIM_CUSTOMER)
+    mart = mart_of_profile(profile_of_totals(totals, customers, as_of), run_ts, method)
     return write_snapshot(mart, house.gold(spec.MART.name))
 
 
@@ -201,7 +255,7 @@ def result_versions(spark: SparkSession, house: Lakehouse) -> dict[str, int]:
 
 
 def transform(spark: SparkSession, house: Lakehouse, as_of: date, run_ts: datetime | None = None) -> None:
-    """Raw to mart."""
+    """Raw to mart, from everything in the raw layer."""
     update_silver(spark, house)
     update_gold(spark, house, run_ts)
     rebuild_mart(spark, house, as_of, run_ts)
@@ -216,8 +270,13 @@ def run(
     as_of: date,
     run_ts: datetime | None = None,
 ) -> tuple[Extraction, float]:
-    """Source to mart; what was extracted and the seconds it all took."""
+    """Source to mart; what was extracted and the seconds it all took.
+
+    The first run transforms everything, later ones what their batch touches.
+    """
+    from tidemark.plans.increments import transform_new  # which is made of the jobs here
+
     began = time.monotonic()
     extraction = extract(spark, house, sources, pipeline, batch_end)
-    transform(spark, house, as_of, run_ts)
+    transform_new(spark, house, pipeline, batch_end, as_of, run_ts)
     return extraction, round(time.monotonic() - began, 1)

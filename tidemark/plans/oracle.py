@@ -188,6 +188,24 @@ BLOCKS["late_orders"] = """
     SELECT * REPLACE ('delivered' AS status, updated_at + INTERVAL 1 DAY AS updated_at) FROM src_orders
     WHERE updated_at > TIMESTAMP '2000-01-01' AND updated_at <= TIMESTAMP '2001-01-01'"""
 
+BLOCKS["changed_orders"] = """
+    SELECT order_id, CASE WHEN order_id % 3 = 0 THEN customer_id + 1 ELSE customer_id END AS customer_id,
+      'delivered' AS status, CAST(total_amount * 2 AS DECIMAL(12,2)) AS total_amount, region, created_at
+    FROM late_orders"""
+BLOCKS["valid_changed"] = "SELECT * FROM changed_orders WHERE order_id IS NOT NULL AND total_amount > 0"
+BLOCKS["f_orders_changed"] = """
+    SELECT o.order_id AS order_key, coalesce(c.customer_key, -1) AS customer_key, o.total_amount, o.created_at,
+      coalesce(n.item_count, 0) AS item_count
+    FROM (SELECT * FROM valid_changed
+          UNION ALL SELECT order_id, customer_id, status, total_amount, region, created_at FROM s_orders
+          WHERE order_id NOT IN (SELECT order_id FROM valid_changed)) o
+    LEFT JOIN d_customer c ON o.customer_id = c.customer_id LEFT JOIN n_items n ON o.order_id = n.order_id"""
+BLOCKS["totals_changed"] = """
+    SELECT customer_key, min(created_at) AS first_order_date, max(created_at) AS last_order_date,
+      count(order_key) AS total_orders, CAST(sum(CAST(total_amount * 100 AS BIGINT)) AS BIGINT) AS cents,
+      CAST(sum(item_count) AS BIGINT) AS total_items
+    FROM f_orders_changed GROUP BY customer_key"""
+
 _ORDER_COLUMNS = """order_id, customer_id, status, CAST(total_amount AS DOUBLE) AS total_amount,
     region, created_at, updated_at"""
 _ITEM_COLUMNS = """item_id, order_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
@@ -403,6 +421,25 @@ QUERIES = {
               UNION ALL SELECT 'fact_orders', count(*) FROM f_orders
               UNION ALL SELECT 'customer_mart', count(*) FROM mart)""",
 }
+QUERIES["end_to_end_run"] = QUERIES["rfm_mart"]
+QUERIES["totals_change"] = "SELECT * FROM totals_changed"
+QUERIES["profile_delta"] = """
+    SELECT t.customer_key, c.customer_id, c.name, c.email, c.region, c.tier, first_order_date, last_order_date,
+      CAST(date_diff('day', CAST(last_order_date AS DATE), DATE '2001-08-02') AS INTEGER) AS recency_days, total_orders,
+      CAST(cents AS DOUBLE) / 100 AS total_spent,
+      (2 * cents + total_orders) // (2 * total_orders) / 100.0 AS avg_order_value, total_items
+    FROM totals_changed t JOIN d_customer c ON t.customer_key = c.customer_key"""
+QUERIES["late_customers"] = """
+    WITH orders_at AS (
+           SELECT o.order_id, c.customer_id IS NULL AS after_, c.customer_id IS NULL OR c.customer_id % 3 = 0 AS before_
+           FROM s_orders o LEFT JOIN d_customer c ON o.customer_id = c.customer_id),
+         items_at AS (
+           SELECT i.item_id, coalesce(o.after_, TRUE) AS after_, coalesce(o.before_, TRUE) AS before_
+           FROM s_items i LEFT JOIN orders_at o ON i.order_id = o.order_id),
+         counted AS (
+           SELECT 'fact_orders' AS fact, count(*) FILTER (before_) AS before, count(*) FILTER (after_) AS after FROM orders_at
+           UNION ALL SELECT 'fact_order_items', count(*) FILTER (before_), count(*) FILTER (after_) FROM items_at)
+    SELECT *, after < before AS fell FROM counted"""
 QUERIES["upsert_key_ranges"] = QUERIES["upsert_orders"]
 QUERIES["batch_concat"] = QUERIES["bronze_union_batches"]
 

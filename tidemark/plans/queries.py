@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from tidemark import spec
 from tidemark.functions import expose_money, moment
-from tidemark.operators import audit, changes, dedup, dimensions, facts, mart, quality
+from tidemark.operators import audit, changes, dedup, dimensions, facts, mart, quality, totals
 from tidemark.operators.ranking import RFM_MEASURES
 from tidemark.operators.upsert import upsert
 from tidemark.plans import checks, jobs, layers
 from tidemark.sources import ranges, raw, retail, snapshots
-from tidemark.sources.shared import new_folder
+from tidemark.sources.shared import materialize, new_folder
 from tidemark.streaming.pickup import pick_up
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -467,3 +467,88 @@ def idempotency_check(spark, folder):
     jobs.start_pipeline(spark, house, "retail", first - timedelta(days=1))
     jobs.extract(spark, house, sources, "retail", last + timedelta(days=1))
     return checks.idempotency(spark, house, AS_OF, RUN_TS)
+
+
+# Increments ---------------------------------------------------------------------------------
+
+PIPELINE = "retail"
+# Keys of one range of the large tables; more rows make more ranges.
+KEYS_PER_RANGE = {"orders": 50_000, "order_items": 500_000, "fact_orders": 50_000, "fact_order_items": 500_000}
+
+
+def _started(spark, sources: layers.Tables, label: str) -> tuple[jobs.Lakehouse, datetime, datetime]:
+    """A new lakehouse with key ranges, and the first and the last change of the sources."""
+    house = jobs.Lakehouse(new_folder(spark, label), KEYS_PER_RANGE)
+    first, last = audit.change_bounds(sources.values(), "updated_at")
+    jobs.start_pipeline(spark, house, PIPELINE, first - timedelta(days=1))
+    return house, first, last
+
+
+def _run(spark, house: jobs.Lakehouse, sources: layers.Tables, end: datetime) -> None:
+    jobs.run(spark, house, sources, PIPELINE, end, AS_OF, RUN_TS)
+
+
+@query
+def end_to_end_run(spark, folder):
+    """Source to mart in three batches: half of the time, the rest, and one that finds nothing new."""
+    sources = retail.sources(spark, folder)
+    house, first, last = _started(spark, sources, "batches")
+    for end in (first + (last - first) / 2, last, last + timedelta(days=1)):
+        _run(spark, house, sources, end.replace(microsecond=0))
+    return expose_money(jobs.read_table(spark, house, house.gold(spec.MART.name), spec.MART))
+
+
+def _late_orders(orders: DataFrame, at: datetime) -> DataFrame:
+    """A year's orders again: delivered, at twice the amount, every third for the next customer."""
+    late = changes.changes(orders, CHANGE_START, CHANGE_END)
+    moved = F.when(F.col("order_id") % 3 == 0, F.col("customer_id") + 1).otherwise(F.col("customer_id"))
+    amount = (F.col("total_amount") * 2).cast("decimal(12,2)")
+    return late.withColumns({"customer_id": moved, "status": F.lit("delivered"), "total_amount": amount, "updated_at": moment(at)})
+
+
+@query
+def profile_delta(spark, folder):
+    """Customer profiles from totals that a second batch of late changes only corrects."""
+    sources = retail.sources(spark, folder)
+    house, _, last = _started(spark, sources, "late-orders")
+    _run(spark, house, sources, last)
+    late, end = _late_orders(sources["orders"], last + timedelta(days=1)), last + timedelta(days=2)
+    _run(spark, house, sources | {"orders": sources["orders"].unionByName(late)}, end)
+    totals_ = jobs.read_table(spark, house, house.gold(spec.CUSTOMER_TOTALS.name), spec.CUSTOMER_TOTALS)
+    customers = jobs.gold_tables(spark, house)["dim_customer"]
+    return expose_money(mart.profile_of_totals(totals_, customers, AS_OF))
+
+
+@query
+def totals_change(spark, folder):
+    """The totals of all customers, the late changes taken in as a difference without any job around it."""
+    tables = _silver(spark, folder)
+    late = quality.validate(_late_orders(retail.orders(spark, folder), RUN_TS), spec.ORDERS.rules)
+    customers = _dim_customer(tables)
+    after = tables | {"orders": upsert(tables["orders"], late, "order_id", nullable_key=False)}
+    facts_before, facts_after = _fact_orders(tables), _fact_orders(after)
+    touched = late.select("order_id")
+    delta = totals.totals_delta(*(f.join(touched, "order_id", "left_semi") for f in (facts_before, facts_after)))
+    held = totals.customer_totals(facts_before)
+    changed = totals.apply_delta(held, delta, facts_after)
+    merged = upsert(held, changed.select(*held.columns), "customer_key", nullable_key=False)
+    return merged.filter("total_orders > 0")
+
+
+@query
+def late_customers(spark, folder):
+    """Facts without a customer before and after a batch brings a third of the customers."""
+    sources = retail.sources(spark, folder)
+    house, _, last = _started(spark, sources, "late-customers")
+    known = F.col("customer_id") % 3 != 0
+    arriving = sources["customers"].filter(~known).withColumn("updated_at", moment(last + timedelta(days=1)))
+    _run(spark, house, sources | {"customers": sources["customers"].filter(known)}, last)
+
+    def unresolved(name: str) -> DataFrame:
+        stored = jobs.gold_tables(spark, house)
+        counts = [facts.unresolved_counts(stored[f], f, ["customer_key"]) for f in ("fact_orders", "fact_order_items")]
+        return counts[0].unionByName(counts[1]).select("fact", F.col("unresolved").alias(name))
+
+    before = materialize(unresolved("before"), "unresolved")
+    _run(spark, house, sources | {"customers": arriving}, last + timedelta(days=2))
+    return before.join(unresolved("after"), "fact").withColumn("fell", F.col("after") < F.col("before"))

@@ -46,6 +46,16 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def delete_empty(spark: SparkSession, path: str, root: str) -> None:
+    """Delete a folder, and those above it up to the root that are left empty."""
+    delete_folder(spark, path)
+    while (path := path.rsplit("/", 1)[0]) != root:
+        files, folder = filesystem(spark, path)
+        if len(files.listStatus(folder)):
+            return
+        delete_folder(spark, path)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
@@ -60,3 +70,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_once(df: DataFrame, path: str) -> DataFrame:
+    """Store the rows at a path unless an earlier, unfinished run did so, and read them back."""
+    spark = df.sparkSession
+    if not is_complete(spark, path):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -174,6 +174,15 @@ MART = TableSpec(
     changed_at="pipeline_updated_at",
 )
 
+# Kept beside the facts, so that a batch changes only the totals of its customers.
+CUSTOMER_TOTALS = TableSpec(
+    name="customer_totals",
+    key="customer_key",
+    ddl="customer_key BIGINT, first_order_date TIMESTAMP_NTZ, last_order_date TIMESTAMP_NTZ, "
+    "total_orders BIGINT, cents BIGINT, total_items BIGINT",
+    changed_at="last_order_date",
+)
+
 # Gold tables that are merged by key on each run; the mart is replaced whole.
 GOLD_TABLES = {t.name: t for t in (DIM_CUSTOMER, DIM_PRODUCT, DIM_DATE, FACT_ORDERS, FACT_ORDER_ITEMS)}
 
