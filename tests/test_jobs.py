@@ -148,8 +148,10 @@ def test_idempotent(spark, folder, small):
     assert all(r["identical"] and r["first_rows"] == r["second_rows"] > 0 for r in report)
 
 
-def test_quality_gate(spark, small):
-    gate = checks.quality_gate(retail.orders(spark, small), RUN_TS).first()
+def test_quality_gate(spark, folder, small):
+    house = Lakehouse(folder)
+    write_batch(retail.orders(spark, small), house.raw, "orders", datetime(2001, 1, 1))
+    gate = checks.quality_gate(spark, house, RUN_TS).first()
     assert (gate["rows_after"] - gate["rows_before"], gate["bad_leaked"], gate["good_passed"]) == (1, 0, 1)
     assert gate["passed"]
 

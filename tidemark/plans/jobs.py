@@ -198,11 +198,17 @@ def gold_tables(spark: SparkSession, house: Lakehouse) -> dict[str, DataFrame]:
     return {n: read_table(spark, house, house.gold(n), t) for n, t in spec.GOLD_TABLES.items()}
 
 
-def update_dimensions(
+def update_customers(
     spark: SparkSession, house: Lakehouse, customers: DataFrame, run_ts: datetime | None = None
 ) -> None:
-    """Merge these customers into their dimension, and create the generated dimensions where they are absent."""
     merge_table(dim_customer(customers, run_ts), house, house.gold("dim_customer"), spec.DIM_CUSTOMER)
+
+
+def update_dimensions(
+    spark: SparkSession, house: Lakehouse, customers: DataFrame, run_ts: datetime | None = None
+) -> None:
+    """Merge the customers and the generated products and days into their dimensions."""
+    update_customers(spark, house, customers, run_ts)
     generated = {"dim_product": dim_product(spark, run_ts=run_ts), "dim_date": dim_date(spark)}
     for name, rows in generated.items():
         merge_table(rows, house, house.gold(name), spec.GOLD_TABLES[name])

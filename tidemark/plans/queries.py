@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemark import spec
 from tidemark.functions import expose_money, moment
-from tidemark.operators import audit, changes, dedup, dimensions, facts, mart, quality, totals
+from tidemark.operators import audit, changes, dedup, dimensions, facts, fingerprints, mart, quality, totals
 from tidemark.operators.ranking import RFM_MEASURES
 from tidemark.operators.upsert import upsert
 from tidemark.plans import checks, jobs, layers
-from tidemark.sources import ranges, raw, retail, snapshots
+from tidemark.sources import catalog, checked, footers, ranges, raw, retail, snapshots
 from tidemark.sources.shared import materialize, new_folder
 from tidemark.streaming.pickup import pick_up
 
@@ -32,6 +32,9 @@ SECOND_END = datetime(2024, 1, 31, 0, 0)
 CHANGE_START = datetime(2000, 1, 1)
 CHANGE_END = datetime(2001, 1, 1)
 
+# Keys of one range of the large tables; more rows make more ranges.
+KEYS_PER_RANGE = {"orders": 5_000, "order_items": 50_000, "fact_orders": 5_000, "fact_order_items": 50_000}
+
 REGISTRY: dict[str, Query] = {}
 
 
@@ -211,7 +214,35 @@ def leak_check(spark, folder):
 
 @query
 def quality_gate(spark, folder):
-    return checks.quality_gate(retail.orders(spark, folder), RUN_TS)
+    house = jobs.Lakehouse(new_folder(spark, "gate"))
+    raw.write_batch(retail.orders(spark, folder), house.raw, "orders", CHANGE_END)
+    return checks.quality_gate(spark, house, RUN_TS)
+
+
+def _checked(spark, folder, *names):
+    """The raw layer of the named tables and their rows, stored by the first rule each breaks."""
+    house = jobs.Lakehouse(new_folder(spark, "checked"))
+    for name in names:
+        raw.write_batch(retail.SOURCES[name](spark, folder), house.raw, name, CHANGE_END)
+    return house, {name: jobs.check_raw(spark, house, spec.SOURCE_TABLES[name]) for name in names}
+
+
+@query
+def quarantine_rows(spark, folder):
+    """The rejected orders, read from where the check stored them."""
+    house, _ = _checked(spark, folder, "orders")
+    return expose_money(jobs.rejected_rows(spark, house, spec.ORDERS))
+
+
+@query
+def quarantine_counts(spark, folder):
+    """Drop counts of all tables from the same files as the trusted rows and the rejects."""
+    whole = None
+    for name, rows in _checked(spark, folder, *spec.SOURCE_TABLES)[1].items():
+        counts = checked.stored_drop_counts(rows, spec.SOURCE_TABLES[name])
+        counts = counts.select(F.lit(name).alias("table_name"), "*")
+        whole = counts if whole is None else whole.unionByName(counts)
+    return whole
 
 
 # Deduplication and the trusted layer --------------------------------------------
@@ -266,6 +297,25 @@ def stream_pickup(spark, folder):
     return expose_money(jobs.read_table(spark, house, house.silver("orders"), spec.ORDERS))
 
 
+EVENTS = spec.TableSpec(
+    name="events",
+    key="event_id",
+    ddl="event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    rules={"key_present": "event_id IS NOT NULL"},
+    changed_at="ts",
+)
+
+
+@query
+def stream_overlap(spark, folder):
+    """Two windows that overlap by 15 minutes, picked up one after the other without the replayed rows."""
+    house, events = jobs.Lakehouse(new_folder(spark, "overlap")), _events(spark, folder)
+    for rows, end in ((_first_batch(events), FIRST_END), (_second_batch(events), SECOND_END)):
+        raw.write_batch(rows, house.raw, "events", end)
+        pick_up(spark, house, EVENTS, replays_within="20 days").awaitTermination()
+    return jobs.read_table(spark, house, house.silver("events"), EVENTS)
+
+
 # Upsert ---------------------------------------------------------------------------
 
 
@@ -283,12 +333,10 @@ def upsert_orders(spark, folder):
 
 @query
 def upsert_key_ranges(spark, folder):
-    """The same upsert, on a stored table split into sixteen key ranges."""
+    """The same upsert, on a stored table split into key ranges."""
     path = new_folder(spark, "ranges")
-    target, source = _upsert_batches(spark, folder)
-    highest = audit.highest_key(retail.load(spark, folder, "orders"), "o_orderkey").first()[0]
-    for rows in (target, source):
-        ranges.merge_ranges(rows, path, spec.ORDERS, span=highest // 16 + 1)
+    for rows in _upsert_batches(spark, folder):
+        ranges.merge_ranges(rows, path, spec.ORDERS, span=KEYS_PER_RANGE["orders"])
     return expose_money(ranges.read_ranges(spark, path, spec.ORDERS))
 
 
@@ -472,8 +520,6 @@ def idempotency_check(spark, folder):
 # Increments ---------------------------------------------------------------------------------
 
 PIPELINE = "retail"
-# Keys of one range of the large tables; more rows make more ranges.
-KEYS_PER_RANGE = {"orders": 50_000, "order_items": 500_000, "fact_orders": 50_000, "fact_order_items": 500_000}
 
 
 def _started(spark, sources: layers.Tables, label: str) -> tuple[jobs.Lakehouse, datetime, datetime]:
@@ -552,3 +598,127 @@ def late_customers(spark, folder):
     before = materialize(unresolved("before"), "unresolved")
     _run(spark, house, sources | {"customers": arriving}, last + timedelta(days=2))
     return before.join(unresolved("after"), "fact").withColumn("fell", F.col("after") < F.col("before"))
+
+
+# Stored layers --------------------------------------------------------------------------------
+
+
+def _lakehouse(spark, folder) -> jobs.Lakehouse:
+    """All sources as a lakehouse, source to mart."""
+    house, sources = jobs.Lakehouse(new_folder(spark, "lakehouse")), retail.sources(spark, folder)
+    first, last = audit.change_bounds(sources.values(), "updated_at")
+    jobs.start_pipeline(spark, house, PIPELINE, first - timedelta(days=1))
+    _run(spark, house, sources, last)
+    return house
+
+
+@query
+def stored_row_counts(spark, folder):
+    """The rows of every stored layer, from the footers of its files alone."""
+    house = _lakehouse(spark, folder)
+    paths = {f"bronze_{n}": f"{house.raw}/{n}" for n in spec.SOURCE_TABLES}
+    paths |= {f"silver_{n}": house.silver(n) for n in spec.SOURCE_TABLES}
+    paths |= {f"gold_{n}": house.gold(n) for n in ("dim_customer", "fact_orders", "fact_order_items")}
+    return footers.stored_row_counts(spark, paths)
+
+
+@query
+def mart_reports(spark, folder):
+    """Both distributions and the validation figures from one stored mart."""
+    house = _lakehouse(spark, folder)
+    stored = jobs.results(spark, house)[spec.MART.name]
+    labels = [
+        mart.distribution(stored, label).select(F.lit(label).alias("report"), F.col(label).alias("label"), F.col("customers").cast("double").alias("value"))
+        for label in ("rfm_segment", "churn_risk")
+    ]
+    metrics = mart.mart_metrics(stored).select(F.lit("metric").alias("report"), F.col("metric").alias("label"), "value")
+    return labels[0].unionByName(labels[1]).unionByName(metrics)
+
+
+@query
+def idempotency_ranges(spark, folder):
+    """Source to mart, the second half run twice, compared by the fingerprints of key ranges."""
+    house, sources = jobs.Lakehouse(new_folder(spark, "lakehouse")), retail.sources(spark, folder)
+    first, last = audit.change_bounds(sources.values(), "updated_at")
+    jobs.start_pipeline(spark, house, PIPELINE, first - timedelta(days=1))
+    jobs.extract(spark, house, sources, PIPELINE, last + timedelta(days=1))
+    return checks.idempotency_by_range(spark, house, AS_OF, RUN_TS, span=1000)
+
+
+@query
+def changed_keys(spark, folder):
+    """Orders against a copy with lost, repeated, changed and new rows; the ranges tell where to look."""
+    orders = _silver(spark, folder, "orders")["orders"]
+    part = F.col("order_id") % 50
+    first = orders.filter(part != 3)
+    amount = F.when(part == 2, F.col("total_amount") + 1).otherwise(F.col("total_amount"))
+    second = orders.filter(part != 0).withColumn("total_amount", amount.cast("decimal(12,2)"))
+    second = second.unionByName(orders.filter(part == 1))
+    return fingerprints.differing_keys(first, second, "order_id", span=10)
+
+
+def _with_schema(spark, build):
+    """Run ``build`` in a new schema of the session catalog, and go back to the one before."""
+    before, place = spark.catalog.currentDatabase(), new_folder(spark, "schema")
+    catalog.use_schema(spark, place.rsplit("/", 1)[1].replace("-", "_"), location=place)
+    try:
+        return build()
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+@query
+def catalog_tables(spark, folder):
+    """Raw orders registered as an external table, made trusted into a typed table, read back by name."""
+
+    def build():
+        house = jobs.Lakehouse(new_folder(spark, "external"))
+        raw.write_batch(retail.orders(spark, folder), house.raw, "orders", CHANGE_END)
+        landed = catalog.register_parquet(spark, "raw_orders", f"{house.raw}/orders")
+        catalog.create_typed(spark, "trusted_orders", spec.ORDERS, "Orders that pass all rules")
+        layers.trusted(landed, spec.ORDERS).write.insertInto("trusted_orders")
+        return spark.table("trusted_orders")
+
+    return expose_money(_with_schema(spark, build))
+
+
+@query
+def catalog_registry(spark, folder):
+    """Each catalog table with its rows and whether it was created; asking again creates nothing."""
+
+    def build():
+        tables = _silver(spark, folder, "customers", "order_items")
+        once = {f"{n}_as": catalog.create_as(t, f"{n}_as") for n, t in tables.items()}
+        again = {n: catalog.create_as(spark.range(3), n) for n in once}
+        catalog.create_typed(spark, "dim_customer", spec.DIM_CUSTOMER)
+        catalog.create_typed(spark, "dim_customer", spec.DIM_PRODUCT)
+        counts = audit.row_counts({n: spark.table(n) for n in (*once, "dim_customer")})
+        columns = [F.when(F.col("table_name") == n, len(spark.table(n).columns)) for n in (*once, "dim_customer")]
+        made = F.col("table_name").isin([n for n in once if once[n] and not again[n]])
+        return counts.withColumns({"columns": F.coalesce(*columns), "created_once": made})
+
+    return _with_schema(spark, build)
+
+
+@query
+def file_inventory(spark, folder):
+    """Files, rows and bytes of two batches by the files' metadata, the bytes against a listing."""
+    root, orders = new_folder(spark, "raw"), retail.orders(spark, folder)
+    written = {CHANGE_START: 8, CHANGE_END: 3}
+    for end, files in written.items():
+        raw.write_batch(orders.repartition(files), root, "orders", end)
+    found = raw.batch_inventory(spark, root, "orders")
+    listed = raw.file_inventory(spark, root).select(F.col("bytes").alias("listed"))
+    total = found.agg(F.sum("bytes").alias("total")).join(listed).select((F.col("total") == F.col("listed")).alias("bytes_match"))
+    return found.select("batch", "files", "rows").join(total)
+
+
+@query
+def extract_empty_window(spark, folder):
+    """A year's changes by prefixed source names; tables without any leave no folder."""
+    house, sources = jobs.Lakehouse(new_folder(spark, "windows")), retail.sources(spark, folder)
+    jobs.start_pipeline(spark, house, PIPELINE, CHANGE_START + timedelta(minutes=spec.OVERLAP_MINUTES))
+    prefixed = {f"shop_{name}": rows for name, rows in sources.items()}
+    rows = jobs.extract(spark, house, prefixed, PIPELINE, CHANGE_END, table_prefix="shop_").rows
+    landed = [(n, count, raw.raw_exists(spark, house.raw, spec.SOURCE_TABLES[n])) for n, count in rows.items()]
+    return spark.createDataFrame(landed, "table_name string, row_count long, landed boolean")

@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.spec import TableSpec
 
 
-def use_schema(spark: SparkSession, schema: str, catalog: str | None = None) -> None:
-    """Make a schema current, creating it if absent."""
+def use_schema(spark: SparkSession, schema: str, catalog: str | None = None, location: str | None = None) -> None:
+    """Make a schema current, creating it if absent; its tables lie at the location, the warehouse by default."""
     if catalog is not None:
         spark.catalog.setCurrentCatalog(catalog)
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+    place = "" if location is None else f" LOCATION '{location}'"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`{place}")
     spark.catalog.setCurrentDatabase(schema)
 
 
