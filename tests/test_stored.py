@@ -13,7 +13,7 @@ from tidemark.operators.quality import validate
 from tidemark.plans import jobs
 from tidemark.plans.jobs import Lakehouse
 from tidemark.plans.queries import EVENTS
-from tidemark.sources import checked, footers, retail
+from tidemark.sources import checked, footers, ranges, retail
 from tidemark.sources.raw import batch_inventory, batch_path, raw_exists, write_batch
 from tidemark.sources.shared import exists
 from tidemark.streaming import pickup
@@ -156,3 +156,38 @@ def test_tables_of_a_merging_format_are_merged(spark, folder, monkeypatch, newer
     jobs.merge_table(orders, house, house.silver("orders"), spec.ORDERS, newer_by)
     assert calls == [(spec.ORDERS.columns, "lake.orders", "order_id", newer_by)]
     assert not exists(spark, house.silver("orders"))
+
+
+def test_readers_see_a_merge_that_is_not_published(spark, folder, monkeypatch):
+    """The merge staged its ranges and died: they are read from there, the others from the table."""
+    table, path = spec.TableSpec("pairs", "k", ROW), f"{folder}/pairs"
+    ranges.merge_ranges(rows(spark, *[(k, "a") for k in range(0, 50, 5)]), path, table, span=10)
+    monkeypatch.setattr(ranges, "_publish", lambda *_: None)
+    ranges.merge_ranges(rows(spark, (5, "b"), (31, "b"), (72, "b")), path, table, span=10)
+    expected = {k: "a" for k in range(0, 50, 5)} | {5: "b", 31: "b", 72: "b"}
+    assert sorted((r["k"], r["v"]) for r in ranges.read_ranges(spark, path, table).collect()) == sorted(expected.items())
+
+
+def test_many_touched_ranges_are_pruned_by_few_intervals(spark, folder, monkeypatch):
+    monkeypatch.setattr(ranges, "MOST_INTERVALS", 3)
+    table, path = spec.TableSpec("pairs", "k", ROW), f"{folder}/pairs"
+    ranges.merge_ranges(rows(spark, *[(k, "a") for k in range(200)]), path, table, span=10)
+    target = spark.read.parquet(path)
+    touched = ranges._touching(target, spark.createDataFrame([(0,), (1,), (12,), (19,)], "key_range long"))
+    assert plan(touched).count("key_range#") and sorted({r["key_range"] for r in touched.collect()}) == [0, 1, 12, 19]
+    assert len(target.inputFiles()) > 4
+    ranges.merge_ranges(rows(spark, (3, "b"), (195, "b"), (1000, "b")), path, table, span=10)
+    found = {r["k"]: r["v"] for r in ranges.read_ranges(spark, path, table).collect()}
+    assert len(found) == 201 and sorted(k for k, v in found.items() if v == "b") == [3, 195, 1000]
+
+
+def test_old_versions_are_retired(spark, folder):
+    house = Lakehouse(folder, {"orders": 10})
+    for v in "abc":
+        jobs.write_snapshot(rows(spark, (1, v)), house.silver("customers"))
+    (rows(spark, (1, "x")).write.parquet(f"{house.silver('customers')}/version=000003"))
+    expired = jobs.retire(spark, house, keep=2)
+    assert expired["customers"] == [0, 1] and expired["order_items"] == [] and "orders" not in expired
+    assert [r["v"] for r in spark.read.parquet(f"{house.silver('customers')}/version=000002").collect()] == ["c"]
+    with pytest.raises(ValueError, match="current"):
+        jobs.retire(spark, house, keep=0)

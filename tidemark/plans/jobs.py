@@ -23,8 +23,8 @@ from tidemark.sources.checked import passed, read_checked, store_checked, stored
 from tidemark.sources.footers import footer_count
 from tidemark.sources.ranges import merge_ranges, read_ranges
 from tidemark.sources.raw import batch_path, raw_exists, read_raw, write_batch
-from tidemark.sources.shared import delete_empty
-from tidemark.sources.snapshots import current_version, merge_snapshot, read_snapshot, write_snapshot
+from tidemark.sources.shared import delete_empty, delete_folder, exists, is_empty
+from tidemark.sources.snapshots import current_version, expire_snapshots, merge_snapshot, read_snapshot, write_snapshot
 from tidemark.spec import TableSpec
 
 
@@ -267,6 +267,18 @@ def transform(spark: SparkSession, house: Lakehouse, as_of: date, run_ts: dateti
     rebuild_mart(spark, house, as_of, run_ts)
 
 
+def retire(spark: SparkSession, house: Lakehouse, keep: int = 2) -> dict[str, list[int]]:
+    """Delete old versions of all snapshot tables and the checked rows of finished batches; the versions deleted."""
+    paths = {n: house.silver(n) for n in spec.SOURCE_TABLES}
+    paths |= {n: house.gold(n) for n in (*spec.GOLD_TABLES, spec.CUSTOMER_TOTALS.name, spec.MART.name)}
+    paths[spec.CONTROL.name] = house.control
+    stored = {n: p for n, p in paths.items() if n not in house.key_spans and n not in house.merge_tables}
+    expired = {name: expire_snapshots(spark, path, keep) for name, path in stored.items()}
+    if not exists(spark, f"{house.root}/increments") or is_empty(spark, f"{house.root}/increments"):
+        delete_folder(spark, f"{house.root}/checked")
+    return expired
+
+
 def run(
     spark: SparkSession,
     house: Lakehouse,

@@ -7,6 +7,8 @@ a large table, and the rest stays as it is.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -17,6 +19,7 @@ from tidemark.spec import TableSpec
 
 RANGE = "key_range"
 SPAN = "_span-"
+MOST_INTERVALS = 1000
 
 
 def _key_range(key: str, span: int) -> Column:
@@ -59,11 +62,37 @@ def _finish_pending(spark: SparkSession, path: str, table: TableSpec) -> None:
         _publish(spark, path, table)
 
 
+def _stored(spark: SparkSession, path: str, table: TableSpec) -> DataFrame:
+    """The whole table with its ranges. Ranges a merge is about to replace are read as it staged them."""
+    schema = _schema(table)
+    if not exists(spark, path) and not is_complete(spark, _staged(path)):
+        return spark.createDataFrame([], schema)
+    published = spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    if not is_complete(spark, _staged(path)):
+        return published
+    staged = spark.read.schema(schema).parquet(_staged(path))
+    others = published.join(staged.select(RANGE).distinct(), RANGE, "left_anti")
+    return others.select(*schema.names).unionByName(staged)
+
+
 def read_ranges(spark: SparkSession, path: str, table: TableSpec) -> DataFrame:
-    """The whole table; empty when it does not exist yet."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], table.schema)
-    return spark.read.schema(_schema(table)).parquet(path).drop(RANGE)
+    """The whole table; empty when it does not exist yet. Complete also while a merge publishes its ranges."""
+    return _stored(spark, path, table).drop(RANGE)
+
+
+def _touching(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The rows of the target in the ranges of the source.
+
+    A bounded number of intervals that hold all those ranges prunes the folders, as
+    literals; the ranges themselves are a join.
+    """
+    ranges = source.select(RANGE).distinct()
+    low, high = ranges.agg(F.min(RANGE), F.max(RANGE)).first()
+    width = (high - low) // MOST_INTERVALS + 1
+    part = F.call_function("div", F.col(RANGE) - low, F.lit(width))
+    found = ranges.groupBy(part).agg(F.min(RANGE).alias("first"), F.max(RANGE).alias("last")).collect()
+    inside = reduce(Column.__or__, [F.col(RANGE).between(r["first"], r["last"]) for r in found])
+    return target.filter(inside).join(ranges, RANGE, "left_semi").select(*target.columns)
 
 
 def merge_ranges(
@@ -71,8 +100,8 @@ def merge_ranges(
 ) -> None:
     """Upsert the rows into a table whose ranges hold ``span`` keys each.
 
-    The source is stored first: its ranges decide, as literals, which
-    partitions of the target are read at all. A table keeps the span of its
+    The source is stored first: its ranges decide which partitions of the
+    target are read at all. A table keeps the span of its
     first merge; another one is refused, since a key would lie in two ranges.
     """
     spark = source.sparkSession
@@ -86,8 +115,7 @@ def merge_ranges(
         return
     target = spark.createDataFrame([], _schema(table))
     if exists(spark, path):
-        touched = [row[RANGE] for row in stored.select(RANGE).distinct().collect()]
-        target = spark.read.schema(_schema(table)).parquet(path).filter(F.col(RANGE).isin(touched))
+        target = _touching(spark.read.schema(_schema(table)).parquet(path), stored)
     files, marker = filesystem(spark, f"{path}/{SPAN}{span}")
     files.mkdirs(marker)
     merged = upsert(target, stored, table.key, newer_by, nullable_key=False)

@@ -46,12 +46,16 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def is_empty(spark: SparkSession, path: str) -> bool:
+    files, folder = filesystem(spark, path)
+    return not len(files.listStatus(folder))
+
+
 def delete_empty(spark: SparkSession, path: str, root: str) -> None:
     """Delete a folder, and those above it up to the root that are left empty."""
     delete_folder(spark, path)
     while (path := path.rsplit("/", 1)[0]) != root:
-        files, folder = filesystem(spark, path)
-        if len(files.listStatus(folder)):
+        if not is_empty(spark, path):
             return
         delete_folder(spark, path)
 

@@ -43,6 +43,24 @@ def write_snapshot(df: DataFrame, path: str) -> int:
     return version
 
 
+def expire_snapshots(spark: SparkSession, path: str, keep: int) -> list[int]:
+    """Delete all but the newest versions, and what failed writes before them left; the deleted versions.
+
+    Readers of a deleted version fail, so keep as many as readers may be behind.
+    """
+    if keep < 1:
+        raise ValueError("keep the current version at least")
+    kept = versions(spark, path)[-keep:]
+    files, pattern = filesystem(spark, f"{path}/version=*")
+    expired = []
+    for folder in files.globStatus(pattern) or []:
+        version = int(folder.getPath().getName().split("=")[1])
+        if kept and version < kept[0]:
+            files.delete(folder.getPath(), True)
+            expired.append(version)
+    return sorted(expired)
+
+
 def merge_snapshot(
     source: DataFrame, path: str, table: TableSpec, newer_by: str | None = None
 ) -> int:
