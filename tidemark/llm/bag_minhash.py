@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_slices, mix, row_key, shingle_hashes, utf8
+from tidemark.llm.common import in_slices, mix, names_apart, row_key, shingle_hashes, utf8
 from tidemark.llm.components import components
 from tidemark.sources.shared import materialize
 
@@ -265,6 +265,7 @@ def near_duplicates(
     )
 
 
+@names_apart
 def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The first document of each class, with its own columns; of repeated rows one. Texts without words all stay, unless told otherwise."""
     classes = near_duplicates(df, doc_id, text, **options)

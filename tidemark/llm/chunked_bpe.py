@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import names_apart
+
 CHUNK_CHARS = 1 << 15
 OVERLAP_CHARS = 1 << 10
 # A match that ends so near to a chunk's end could go on in the text that follows.
@@ -165,6 +167,7 @@ def _encode_long(texts: DataFrame, codec: Codec, chunk: int, overlap: int) -> Da
     return encoded.groupBy("__key").applyInPandas(gather, "__key string, ids binary")
 
 
+@names_apart
 def encode(
     df: DataFrame,
     codec: Codec,
@@ -224,6 +227,7 @@ def _digests(ids: bytes, coder: RankCoder) -> tuple[int, str, str]:
     return len(numbers), decimal, hashlib.sha256(coder.decode(ids)).hexdigest()
 
 
+@names_apart
 def decode(df: DataFrame, codec: Codec) -> DataFrame:
     """Add ``decoded``, the concatenated bytes of the tokens in ``ids`` (null: none)."""
     own = df.drop("decoded")

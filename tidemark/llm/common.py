@@ -6,6 +6,7 @@ import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -50,6 +51,35 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def names_apart(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Let an operator name its own columns with a first underscore, whatever columns its table has.
+
+    Such columns of the table have other names inside, and their own again in the result.
+    """
+
+    @wraps(operator)
+    def run(df: DataFrame, *args, **options) -> DataFrame:
+        taken = {c.lower() for c in df.columns}
+        aside: dict[str, str] = {}
+        for column in df.columns:
+            if column.startswith("_"):
+                name = f"caller{column}"
+                while name.lower() in taken:
+                    name = f"caller_{name}"
+                taken.add(name.lower())
+                aside[column] = name
+
+        def known(value):
+            if isinstance(value, list):
+                return [known(x) for x in value]
+            return aside.get(value, value) if isinstance(value, str) else value
+
+        found = operator(df.withColumnsRenamed(aside), *map(known, args), **{k: known(v) for k, v in options.items()})
+        return found.withColumnsRenamed({name: column for column, name in aside.items()})
+
+    return run
+
+
 def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
     """A key of the row's contents: also rows without an id, or with another's id, have their own."""
     return F.xxhash64(F.col(id_column), F.col(text_column))

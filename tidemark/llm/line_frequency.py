@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let
+from tidemark.llm.common import let, names_apart
 
 SPACES = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
@@ -139,6 +139,7 @@ def _without(host: str, text: str) -> Column:
     return F.when(F.col("_common").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
 
 
+@names_apart
 def without_boilerplate(df: DataFrame, host: str = "source", text: str = "text", **limits) -> DataFrame:
     """All rows, their texts without the lines above the limits; the lines left are as they were, in order."""
     keyed = df.withColumn("__key", F.xxhash64(host, text))
@@ -146,6 +147,7 @@ def without_boilerplate(df: DataFrame, host: str = "source", text: str = "text",
     return joined.withColumn(text, _without(host, text)).select(*df.columns)
 
 
+@names_apart
 def judge(
     df: DataFrame,
     host: str = "source",
@@ -178,6 +180,7 @@ def judge(
     return judged.withColumn("kept", kept).select(*names, *made)
 
 
+@names_apart
 def accepted(df: DataFrame, **options) -> DataFrame:
     """The documents that are kept, with their own columns, without the lines above the limits."""
     return judge(df, remove=True, **options).filter("kept").select(*df.columns)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, in_slices, mix, row_key, utf8
+from tidemark.llm.common import SPACES, in_slices, mix, names_apart, row_key, utf8
 from tidemark.sources.shared import materialize
 
 # Text that the lines of one shard stand for, and the fewest shards.
@@ -235,6 +235,7 @@ def lines_key(text: str = "text") -> Column:
     return F.xxhash64(F.filter(lines, lambda x: x != ""))
 
 
+@names_apart
 def drop_frequent_lines(
     df: DataFrame,
     min_docs: int = 10,

@@ -13,20 +13,22 @@ bounded by the number of different values, not of documents.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import names_apart
 from tidemark.sources.shared import materialize
 
 DIMENSIONS = ["source", "lang", "topic"]
 # A marginal's target is its present share to this power, scaled to 1: less of the large, more of the small.
 FLATTEN = 0.7
 KEEP_SHARE = 0.85
-MAX_SWEEPS = 60
 SWEEPS_AT_ONCE = 4
 TOLERANCE = 1e-6
+LEAST_GAIN = 0.01  # of the largest miss, by which some sweeps must lessen it
 NONE = "(none)"
 
 # Topics by what a text has; the first that fits. Patterns and names are parameters of ``topic``.
@@ -60,28 +62,30 @@ def flattened_targets(cells: DataFrame, dimension: str, power: float = FLATTEN)
     return raised.select(dimension, (F.col("_target") / total).alias("_target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], max_sweeps: int = MAX_SWEEPS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """``weight`` of each cell, with the target marginals.
 
     ``targets`` has for each dimension a DataFrame ``dimension, _target``; a value
     that is not among them gets no weight, and targets of values without words
-    are spread over the others. Where the targets contradict each other (cells
-    that are all empty) the last sweep is returned.
+    are spread over the others. Sweeps go on while they bring the marginals nearer
+    to their targets. Where these contradict each other (cells that are all empty)
+    that ends before they are met: the last sweep is returned with a warning.
     """
     state = cells.withColumn("weight", F.col("words").cast("double"))
     for name, target in targets.items():
         known = target.select(name, F.col("_target").alias(f"_t_{name}"))
         state = state.join(known, name, "left").fillna(0.0, [f"_t_{name}"])
     state = materialize(state, "rake")
-    done = 0
-    while done < max_sweeps:
-        for _ in range(min(SWEEPS_AT_ONCE, max_sweeps - done)):
+    miss = float("inf")
+    while miss > TOLERANCE:
+        for _ in range(SWEEPS_AT_ONCE):
             for name in targets:
                 own = F.sum("weight").over(Window.partitionBy(name))
                 state = state.withColumn("weight", F.when(own > 0, F.col("weight") * F.col(f"_t_{name}") / own).otherwise(0.0))
-            done += 1
         state = materialize(state, "rake")
-        if _largest_miss(state, list(targets)) <= TOLERANCE:
+        last, miss = miss, _largest_miss(state, list(targets))
+        if TOLERANCE < miss and miss > last * (1 - LEAST_GAIN):
+            warnings.warn(f"the targets contradict each other: a marginal misses its target by {miss:.6f}", stacklevel=2)
             break
     return state.select(*cells.columns, "weight")
 
@@ -117,6 +121,7 @@ def probabilities(weighted: DataFrame, keep_share: float = KEEP_SHARE) -> DataFr
     )
 
 
+@names_apart
 def mix(
     df: DataFrame,
     doc_id: str = "doc_id",
@@ -152,6 +157,7 @@ def mix(
     return joined.withColumn("sampled", chance < F.col("probability"))
 
 
+@names_apart
 def sampled(df: DataFrame, **options) -> DataFrame:
     """The sampled documents, with their own columns."""
     return mix(df, **options).filter("sampled").select(*df.columns)

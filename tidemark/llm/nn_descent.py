@@ -30,7 +30,7 @@ SORTINGS, CHUNK, PLANES = 12, 2048, 12
 ROUNDS = 3
 MET = 12  # of those a node meets in one join it is told the nearest
 HOPS, VISITS = 4, 32
-RESCORED = 64
+RESCORED = 64  # at least, and twice the number asked for
 
 
 def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -213,8 +213,8 @@ def _step(state: DataFrame, found: DataFrame, visits: int) -> DataFrame:
     return rows.select("query", "code8", "seen", "near", "visited", "found").mapInArrow(step, _STATE)
 
 
-def greedy_search(queries: DataFrame, links: DataFrame, nodes: DataFrame, hops: int, visits: int) -> DataFrame:
-    """``query, node``: the nearest nodes found for the nodes ``query``, themselves among them."""
+def greedy_search(queries: DataFrame, links: DataFrame, nodes: DataFrame, hops: int, visits: int, most: int = RESCORED) -> DataFrame:
+    """``query, node``: the ``most`` nearest nodes found for the nodes ``query``, themselves among them."""
     start = nodes.join(queries.select(F.col("query").alias("node")), "node", "left_semi")
     none = F.lit(b"").cast("binary")
     state = start.select(
@@ -234,7 +234,7 @@ def greedy_search(queries: DataFrame, links: DataFrame, nodes: DataFrame, hops:
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for query, seen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(seen, dtype=np.int64)[:RESCORED]
+                ids = np.frombuffer(seen, dtype=np.int64)[:most]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), query)), pa.array(ids)], names=["query", "node"])
 
     return state.select("query", "seen").mapInArrow(nearest, "query long, node long")
@@ -274,7 +274,7 @@ def search(
     graph = build_graph(codes, degree, rounds)
     links = materialize(_both_ways(graph, degree), "links")
     asking = rows.filter("_asks").select(F.col("_id").alias("query_id"), F.col("node").alias("query"))
-    found = greedy_search(asking.select("query").distinct(), links, codes, hops, visits)
+    found = greedy_search(asking.select("query").distinct(), links, codes, hops, visits, max(RESCORED, 2 * k))
     exact = found.join(nodes.select("node", "vec"), "node").join(nodes.select(F.col("node").alias("query"), F.col("vec").alias("own")), "query")
     product = F.aggregate(F.zip_with("vec", "own", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
     scored = exact.select("query", "node", product.alias("score"))
