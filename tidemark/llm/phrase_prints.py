@@ -11,13 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from tidemark.llm.common import BLOCK_BYTES, mix
+from tidemark.llm.common import mix
 
 # Bytes that end a piece, and those that part the words within one.
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 WORD = re.compile(rb"[^\x20\x09.,;:!?\x0a-\x0d]+")
 _END = re.compile(rb"[.,;:!?\x0a-\x0d]")
 
+BLOCK_BYTES = 1 << 18
 _PRIME = (1 << 31) - 1
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # of bytes and of words, modulo 2^64
 _CHECKS = (1_220_703_125, 594_156_893)  # the same, modulo the prime

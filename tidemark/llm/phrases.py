@@ -30,7 +30,9 @@ SCALE, COVERED = 2_000_000, 80
 UNKNOWN = "und"
 _FILTER_BITS = 1 << 27  # the most a filter of one level has: 16 MB
 _BITS_EACH = 16
-_TOGETHER = 1 << 21
+_TOGETHER = 1 << 18  # n-grams of a task counted at once
+_ROWS = 1 << 15
+_TEXTS = 512  # held as bytes at once
 _WHOLE = "decimal(38,0)"
 _COUNTS = "print long, check long, times long, key long, at long"
 
@@ -71,7 +73,7 @@ def _counted(docs: DataFrame, size: int, shorter: Broadcast | None) -> DataFrame
         waiting: list[tuple[np.ndarray, ...]] = []
         totals: dict[int, int] = {}
 
-        def emit() -> pa.RecordBatch:
+        def emit() -> Iterator[pa.RecordBatch]:
             prints, checks, keys, places = (np.concatenate(x) for x in zip(*waiting, strict=True))
             waiting.clear()
             order = np.argsort(prints, kind="stable")
@@ -82,10 +84,12 @@ def _counted(docs: DataFrame, size: int, shorter: Broadcast | None) -> DataFrame
             new[1:] = (prints[1:] != prints[:-1]) | (checks[1:] != checks[:-1])
             first = np.flatnonzero(new)
             columns = [prints[first].view(np.int64), checks[first], np.diff(first, append=len(prints))]
-            return _batch(*columns, keys[order[first]], places[order[first]])
+            columns += [keys[order[first]], places[order[first]]]
+            for at in range(0, len(first), _ROWS):
+                yield _batch(*(x[at : at + _ROWS] for x in columns))
 
         held = 0
-        for batch in batches:
+        for batch in (whole.slice(at, _TEXTS) for whole in batches for at in range(0, whole.num_rows, _TEXTS)):
             keys, salts, every = batch.column(0).to_numpy(), batch.column(1).to_numpy(), utf8(batch.column(2))
             for part in in_slices(every):
                 for owners, begins, offsets, words in blocks(every[part]):
@@ -105,10 +109,10 @@ def _counted(docs: DataFrame, size: int, shorter: Broadcast | None) -> DataFrame
                     waiting.append((words.prints(at, size, salt[at].view(np.uint64)), words.checks(at, size), keys[row[at]], place))
                     held += len(at)
                     if held >= _TOGETHER:
-                        yield emit()
+                        yield from emit()
                         held = 0
         if waiting:
-            yield emit()
+            yield from emit()
         if totals:
             names = np.fromiter(totals, dtype=np.int64, count=len(totals))
             nothing = np.zeros(len(names), dtype=np.int64)
