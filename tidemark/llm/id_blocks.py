@@ -24,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ MAGIC = b"PFOR1\0\0\0"
 BLOCK = 256
 PERCENTILE = 90
 FILE_IDS = 4 << 20
-_AT_ONCE = 512  # documents encoded at once
+_AT_ONCE = 4 << 20  # characters encoded at once, beyond the first text
 _STEP = 1 << 12  # blocks packed or unpacked at once
 
 
@@ -181,9 +182,10 @@ def write(
         size = 0
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
-            for at in range(0, len(texts), _AT_ONCE):
-                found = encode(texts[at : at + _AT_ONCE])
-                for key, own in zip(keys[at : at + _AT_ONCE], found, strict=True):
+            ends = np.cumsum([len(x) for x in texts])
+            groups = np.flatnonzero(np.diff(ends // _AT_ONCE)) + 1
+            for low, high in itertools.pairwise([0, *groups.tolist(), len(texts)]):
+                for key, own in zip(keys[low:high], encode(texts[low:high]), strict=True):
                     names.append(key)
                     ids.append(own)
                     size += len(own)
@@ -193,7 +195,9 @@ def write(
         if names:
             yield flush()
 
-    ordered = df.select(doc_id, text).repartitionByRange(doc_id).sortWithinPartitions(doc_id, text)
+    # Rows without an id, or with the same one, are told apart by their texts' hashes.
+    by = [F.col(doc_id), F.xxhash64(text)]
+    ordered = df.select(doc_id, text).repartitionByRange(*by).sortWithinPartitions(*by, text)
     files = ordered.mapInArrow(write_files, "name string, part int, no int, n_ids long")
     return folder, materialize(files, "id-files")
 
@@ -245,19 +249,22 @@ class TokenizerFile:
     """Encode with the tokenizers library and a tokenizer file's content, an end id after each document.
 
     The byte-level pattern always cuts before a space that a character follows,
-    so texts are cut there and units seen before are looked up. A unit of Latin
-    letters is one pre-token, which needs no pattern. Files with another
-    normaliser or pre-tokeniser encode whole texts. The special tokens' strings
-    are ordinary text.
+    so texts are cut there, and each different unit is encoded once: one of Latin
+    letters, marks and single line ends by its pre-tokens, which need no pattern,
+    any other by the library as it is. Files with another normaliser or
+    pre-tokeniser encode whole texts.
+
+    The added tokens' strings are ordinary text, or, with ``added_tokens``, one id
+    each, which is the library's default.
     """
 
     _MEMO = 400_000
 
-    def __init__(self, spark: SparkSession, path: str, end_id: int) -> None:
+    def __init__(self, spark: SparkSession, path: str, end_id: int, added_tokens: bool = False) -> None:
         with open(path, encoding="utf-8") as file:
             content = file.read()
         self._content = spark.sparkContext.broadcast(content)
-        self._end = end_id
+        self._end, self._added = end_id, added_tokens
         parts = json.loads(content)
         split = parts.get("pre_tokenizer") or {}
         plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
@@ -267,61 +274,121 @@ class TokenizerFile:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        content = json.loads(self._content.value)
         whole = Tokenizer.from_str(self._content.value)
-        whole.encode_special_tokens = True
-        end = np.array([self._end], dtype=np.uint32).tobytes()
-
-        def packed(tokenizer: Tokenizer, texts: list[str]) -> list[bytes]:
-            found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [array("I", x.ids).tobytes() for x in found]
-
-        if not self._cuts:
-            return lambda texts: [np.frombuffer(x + end, dtype=np.uint32) for x in packed(whole, texts)]
+        whole.encode_special_tokens = not self._added
+        end = np.array([self._end], dtype=np.uint32)
 
-        content["pre_tokenizer"]["use_regex"] = False
-        single = Tokenizer.from_str(json.dumps(content | {"added_tokens": [], "post_processor": None}))
-        known: dict[str, bytes] = {}  # by what follows the space
+        def packed(texts: list[str]) -> list[bytes]:
+            return [array("I", x.ids).tobytes() for x in whole.encode_batch_fast(texts, add_special_tokens=False)]
 
-        marks: dict[str, bytes] = {"": b""}
+        def by_library(texts: list[str]) -> list[np.ndarray]:
+            return [np.append(np.frombuffer(x, dtype=np.uint32), end) for x in packed(texts)]
 
-        def learn(units: set[str]) -> None:
-            """Add the units: of Latin letters and a mark the word's and the mark's ids, of others what the library says."""
-            cut = [(x, m[1], m[2]) for x in units if (m := _WORD.fullmatch(x))]
-            new = list({word for _, word, _ in cut}.difference(known))
-            known.update(zip(new, packed(single, [f" {x}" for x in new]), strict=True))
-            for mark in {mark for _, _, mark in cut}.difference(marks):
-                marks[mark] = packed(single, [mark])[0]
-            known.update((x, known[word] + marks[mark]) for x, word, mark in cut if mark)
-            rest = list(units.difference([x for x, _, _ in cut]))
-            known.update(zip(rest, packed(whole, [f" {x}" for x in rest]), strict=True))
+        if not self._cuts:
+            return by_library
+        units = _Units(whole, packed, self._MEMO)
+        added = [x["content"] for x in json.loads(self._content.value)["added_tokens"]] if self._added else []
 
         def encode(texts: list[str]) -> list[np.ndarray]:
-            nonlocal known
-            cut = [_cut_at_spaces(x) for x in texts]
-            heads = packed(whole, [parts.pop(0) for parts in cut])
-            found = [list(map(known.get, parts)) for parts in cut]
-            learn({x for parts, ids in zip(cut, found, strict=True) for x, y in zip(parts, ids, strict=True) if y is None})
-            for parts, ids in zip(cut, found, strict=True):
-                if None in ids:
-                    ids[:] = [known[x] if y is None else y for x, y in zip(parts, ids, strict=True)]
-            if len(known) > self._MEMO:  # what these texts have is likelier to come again
-                known = {x: known[x] for parts in cut for x in parts if len(x) < 64}
-            joined = (b"".join([head, *ids, end]) for head, ids in zip(heads, found, strict=True))
-            return [np.frombuffer(x, dtype=np.uint32) for x in joined]
+            odd = [_ODD.search(x) is not None for x in texts]
+            asis = [any(token in x for token in added) for x in texts]
+            even = [i for i, (a, b) in enumerate(zip(odd, asis, strict=True)) if not a and not b]
+            uneven = [i for i, (a, b) in enumerate(zip(odd, asis, strict=True)) if a and not b]
+            whole_ones = [i for i, b in enumerate(asis) if b]
+            found: list[np.ndarray] = [end] * len(texts)
+            if even:
+                cut = pc.split_pattern(pa.array([texts[i] for i in even], pa.large_string()), " ")
+                for i, ids in zip(even, units.encode(cut), strict=True):
+                    found[i] = np.append(ids, end)
+            if uneven:
+                cut = pa.array([_cut_at_spaces(texts[i]) for i in uneven], pa.list_(pa.large_string()))
+                for i, ids in zip(uneven, units.encode(cut), strict=True):
+                    found[i] = np.append(ids, end)
+            for i, ids in zip(whole_ones, by_library([texts[i] for i in whole_ones]), strict=True):
+                found[i] = ids
+            return found
 
         return encode
 
 
-# A word of Latin letters, perhaps with one mark after it: two pre-tokens.
-_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]?)")
+class _Units:
+    """The ids of texts that are cut at spaces, each different unit encoded once while it is remembered."""
+
+    def __init__(self, whole, packed: Callable[[list[str]], list[bytes]], memo: int) -> None:
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
+        self._spelled = {ord(c): bytewise.pre_tokenize_str(c)[0][0] for c in (" ", "\n", *_LATIN)}
+        self._space = self._spelled[ord(" ")]
+        self._model, self._packed, self._memo = whole.model, packed, memo
+        self._known: dict[str, bytes] = {}  # by what follows the space
+        self._bare: dict[str, bytes] = {}  # pre-tokens without a space
+
+    def _pretoken(self, value: str) -> bytes:
+        """The ids of letters or marks, perhaps after a space, or of a line end."""
+        plain = value.isascii() and value != "\n"
+        spelled = value.replace(" ", self._space) if plain else value.translate(self._spelled)
+        return array("I", [x.id for x in self._model.tokenize(spelled)]).tobytes()
+
+    def _learn(self, units: list[str]) -> None:
+        known, bare, rest = self._known, self._bare, []
+        for unit in units:
+            if _WORD.fullmatch(unit):
+                known[unit] = self._pretoken(" " + unit)
+            elif _WORDS.fullmatch(unit):
+                first, *others = _PARTS.findall(unit)
+                if first not in known:
+                    known[first] = self._pretoken(" " + first)
+                for part in others:
+                    if part not in bare:
+                        bare[part] = self._pretoken(part)
+                known[unit] = known[first] + b"".join([bare[x] for x in others])
+            else:
+                rest.append(unit)
+        known.update(zip(rest, self._packed([f" {x}" for x in rest]), strict=True))
+
+    def encode(self, cut: pa.Array) -> list[np.ndarray]:
+        """The ids of each list: its first element as it is, the others after a space."""
+        offsets = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        coded = cut.flatten().dictionary_encode()
+        codes, heads = coded.indices.to_numpy().astype(np.int64), offsets[:-1]
+        different = coded.dictionary
+        firsts = different.take(pa.array(codes[heads])).to_pylist()
+        # Units that only begin texts are not looked up.
+        times = np.bincount(codes, minlength=len(different)) - np.bincount(codes[heads], minlength=len(different))
+        used = np.flatnonzero(times)
+        place = np.zeros(len(different), dtype=np.int64)
+        place[used] = np.arange(len(used))
+        codes = place[codes]
+        codes[heads] = len(used) + np.arange(len(heads))
+        names = different.take(pa.array(used)).to_numpy(zero_copy_only=False).tolist()
+        self._learn([x for x in names if x not in self._known])
+        ids = [*map(self._known.__getitem__, names), *self._packed(firsts)]
+        if len(self._known) > self._memo:  # what these texts have is likelier to come again
+            self._known = {x: self._known[x] for x in names if len(x) < 64}
+        if len(self._bare) > self._memo:
+            self._bare = {}
+        sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+        begins = np.cumsum(sizes) - sizes
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths)
+        places = np.repeat(begins[codes] - (ends - lengths), lengths) + np.arange(ends[-1])
+        joined = np.frombuffer(b"".join(ids), dtype=np.uint32)[places]
+        return np.split(joined, ends[offsets[1:-1] - 1])
+
+
+# Latin letters, and units of pre-tokens that need no pattern to be told apart: a word after the space, then marks,
+# single line ends and words in turn. An apostrophe may belong to either side, so it is no such mark.
+_LATIN = [chr(c) for a, b in ((0xC0, 0xD7), (0xD8, 0xF7), (0xF8, 0x250)) for c in range(a, b)]
+_LETTERS, _MARKS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+", "[!-&(-/:-@\\[-`{-~]+"
+_WORD = re.compile(_LETTERS)
+_WORDS = re.compile(f"{_LETTERS}(?:{_MARKS})?(?:\n(?:{_LETTERS}(?:{_MARKS})?))*")
+_PARTS = re.compile(f"{_LETTERS}|{_MARKS}|\n")
 _SPACED = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|\Z)")
 
 
 def _cut_at_spaces(text: str) -> list[str]:
     """The text cut at each space that a character follows; what stands before the first, then what follows each."""
-    if _ODD.search(text) is None:
-        return text.split(" ")
     edges = [-1, *(m.start() for m in _SPACED.finditer(text)), len(text)]
     return [text[a + 1 : b] for a, b in itertools.pairwise(edges)]
