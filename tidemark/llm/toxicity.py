@@ -4,7 +4,8 @@ Written words are taken as noisy forms of plain ones. The channel writes letters
 as look-alike signs, repeats them, and puts spaces or signs between them. All
 plain readings of a word form a lattice of characters; the likeliest one under a
 character language model of the whole corpus is found by the Viterbi algorithm.
-Words with one reading only are left as they are.
+Words with one reading only are left as they are. Where scores are taken, so are
+words none of whose readings could be evidence, which changes no score.
 
 Words and word beginnings that labelled toxic documents have far more often
 than others are evidence; a logistic function of a document's evidence is its
@@ -18,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,8 +42,8 @@ SYMBOLS = 27  # a word's end, a to z
 
 # Labelled rows that the evidence and the logistic function are learned from, at most.
 SAMPLE_ROWS = 20_000
-MAX_FEATURES = 20_000
-# A feature of evidence occurs in this share of toxic rows, and in so many, and is this much (nats) likelier there.
+# A feature of evidence occurs in this share of toxic rows, and in so many, and is this much (nats) likelier there:
+# at most 100 times as many as a toxic row of the sample has on average.
 LEAST_SHARE, LEAST_ROWS, LEAST_WEIGHT = 0.01, 4, 2.0
 # Other rows that every feature is taken to occur in besides, so that a rare one is not much evidence.
 _DOUBT = 2.0
@@ -53,11 +55,22 @@ _SYMBOL = np.zeros(256, dtype=np.int64)
 _SYMBOL[97:123] = np.arange(1, 27)
 _SYMBOL[65:91] = np.arange(1, 27)
 
-_SPACED = re.compile(r"(?<!\S)\S(?:\s\S(?!\S)){2,}")
-_HAS_SPACED = re.compile(r"\s\S\s\S\s")
+# A letter's lower case, nothing for white space and separators, and one sign for all others.
+_TOGETHER = np.full(256, ord("|"), dtype=np.uint8)
+_TOGETHER[97:123] = _TOGETHER[65:91] = np.arange(97, 123)
+_TOGETHER[[*b" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f", *SEPARATORS.encode()]] = 0
+
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2,}")
+_HAS_SPACED = re.compile(r"\s\S\s+\S\s")
+# Neighbours of up to four letters, which a word may have been cut into.
+_PIECE = rf"[A-Za-z](?:[{re.escape(SEPARATORS)}]?[A-Za-z]){{0,3}}"
+_PIECES = re.compile(rf"(?<!\S){_PIECE}(?:\s+{_PIECE}(?!\S))+", re.ASCII)
+_LETTERS = re.compile("[a-z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _NOISY = re.compile(rf"[^\W\d_].*[{re.escape(''.join(LOOK_ALIKES) + SEPARATORS)}]|[{re.escape(''.join(LOOK_ALIKES) + SEPARATORS)}].*[^\W\d_]", re.S)
-_REPEATS = re.compile(r"([^\W\d_])\1\1")
+_REPEATS = re.compile(r"([^\W\d_])\1")
+_REPEATED_LETTER = re.compile(r"(.)\1+")
+_NO_LETTERS = re.compile("[^a-z]+")
 # What stands at a word's end is rarely a letter.
 _EDGES = "\"'()[]{}<>,;:?.!-_*~^|+"
 
@@ -160,9 +173,20 @@ class Restorer:
             return [*plain, *self._model.restore(token.rstrip(",;:?.")).split()]
         return plain
 
-    def text_words(self, text: str) -> set[str]:
-        """Different plain words of a text."""
-        return {word for token in tokens(text) for word in self.words(token)}
+    def text_words(self, text: str, known: dict[str, list[str]] | None = None) -> set[str]:
+        """Different plain words of a text; ``known`` remembers those of tokens."""
+        known = {} if known is None else known
+        found: set[str] = set()
+        for token in tokens(text):
+            words = known.get(token)
+            if words is None:
+                words = self.words(token)
+                if len(known) >= _MEMO:
+                    known.clear()
+                if len(token) < 64:
+                    known[token] = words
+            found.update(words)
+        return found
 
 
 def tokens(text: str) -> set[str]:
@@ -178,6 +202,18 @@ def features(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in _PREFIXES if len(word) > n)] if len(word) > 2 else []
 
 
+def _squeezed(word: str) -> str:
+    """The word with each letter written once where it is repeated: the same for all readings of letters."""
+    return _REPEATED_LETTER.sub(r"\1", word)
+
+
+def _letters_together(text: str) -> str:
+    """The text's letters, squeezed, without what may stand between a word's pieces."""
+    signs = _TOGETHER[np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)]
+    signs = signs[signs > 0]
+    return np.concatenate([signs[:1], signs[1:][signs[1:] != signs[:-1]]]).tobytes().decode()
+
+
 class ToxicityModel:
     """Weights of the features that are evidence, and the logistic function of their sum."""
 
@@ -185,15 +221,48 @@ class ToxicityModel:
         self._restorer, self.weights = restorer, weights
         self.beta = np.zeros(3)
         self._known: dict[str, tuple[tuple[str, float], ...]] = {}
+        self._words = {_squeezed(x) for x in weights if not x.endswith("-")}
+        self._begun = {_squeezed(x[:-1]) for x in weights if x.endswith("-")}
+        self._longest = max(map(len, self._words), default=0)
+        self._finder = ahocorasick.Automaton()
+        for word in self._words:
+            self._finder.add_word(word, word)
+        self._finder.make_automaton()
+
+    def _may_be_evidence(self, word: str) -> bool:
+        """Whether a reading of the letters could be evidence."""
+        squeezed = _squeezed(word)
+        return squeezed in self._words or any(squeezed[:n] in self._begun for n in range(1, max(_PREFIXES) + 1))
 
     def _token(self, token: str) -> tuple[tuple[str, float], ...]:
         """The evidence of a token: its words with their largest weights."""
         found = []
+        lower = token.lower()
+        if _LETTERS.fullmatch(lower.rstrip(",;:?.")) and not self._may_be_evidence(lower.rstrip(",;:?.")):
+            return ()
         for word in self._restorer.words(token):
             if weight := max((self.weights.get(x, 0.0) for x in features(word)), default=0.0):
                 found.append((word, weight))
         return tuple(found)
 
+    def _pieces(self, text: str) -> Iterator[tuple[str, float]]:
+        """Words of evidence that neighbouring short pieces are likeliest to be together."""
+        if not self._words or next(self._finder.iter(_letters_together(text)), None) is None:
+            return
+        for run in _PIECES.finditer(text):
+            pieces = run[0].lower().split()
+            bare = [_NO_LETTERS.sub("", x) for x in pieces]
+            for i in range(len(pieces) - 1):
+                joined = bare[i]
+                for j in range(i + 1, len(pieces)):
+                    joined = _squeezed(joined + bare[j])
+                    if len(joined) > self._longest:
+                        break
+                    if joined in self._words:
+                        for word in self._restorer.words(" ".join(pieces[i : j + 1])):
+                            if word in self.weights:
+                                yield word, max(self.weights.get(x, 0.0) for x in features(word))
+
     def evidence(self, text: str) -> float:
         known, seen = self._known, {}
         for token in tokens(text):
@@ -206,6 +275,7 @@ class ToxicityModel:
                     known[token] = found
             if found:
                 seen.update(found)
+        seen.update(self._pieces(text))
         return sum(seen.values())
 
     def score(self, text: str) -> float:
@@ -228,10 +298,11 @@ def _feature_counts(sample: DataFrame, restorer: Restorer) -> DataFrame:
     schema = pa.schema([("feature", pa.string()), ("half", pa.int32()), ("label", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[str]] = {}
         for batch in batches:
             totals: Counter = Counter()
             for value, half, label in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                own = {x for word in restorer.text_words(value or "") for x in features(word)}
+                own = {x for word in restorer.text_words(value or "", known) for x in features(word)}
                 totals.update((x, half, label) for x in own)
             rows = list(zip(*totals, strict=True)) if totals else [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip([*rows, totals.values()], schema)], schema=schema)
@@ -242,15 +313,14 @@ def _feature_counts(sample: DataFrame, restorer: Restorer) -> DataFrame:
 
 
 def _weights(counts: DataFrame, sizes: dict[tuple[int, int], int], halves: tuple[int, ...]) -> dict[str, float]:
-    """Features that are evidence by these halves' rows, at most MAX_FEATURES of them, with their log ratios."""
+    """Features that are evidence by these halves' rows, with their log ratios."""
     n_toxic, n_other = (sum(sizes.get((h, y), 0) for h in halves) for y in (1, 0))
     if not n_toxic or not n_other:
         return {}
     toxic, other = (sum((F.col(f"n{h}{y}") for h in halves), F.lit(0)) for y in (1, 0))
     weight = F.log((toxic + 0.5) / (n_toxic + 1.0)) - F.log((other + _DOUBT) / (n_other + 2 * _DOUBT))
     found = counts.filter(toxic >= max(LEAST_ROWS, LEAST_SHARE * n_toxic)).select("feature", weight.alias("weight"))
-    best = found.filter(F.col("weight") >= LEAST_WEIGHT).orderBy(F.desc("weight"), "feature").limit(MAX_FEATURES)
-    return {r["feature"]: r["weight"] for r in best.collect()}
+    return {r["feature"]: r["weight"] for r in found.filter(F.col("weight") >= LEAST_WEIGHT).collect()}
 
 
 def _basis(evidence: np.ndarray) -> np.ndarray:
