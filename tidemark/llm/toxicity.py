@@ -223,7 +223,8 @@ class ToxicityModel:
         self._known: dict[str, tuple[tuple[str, float], ...]] = {}
         self._words = {_squeezed(x) for x in weights if not x.endswith("-")}
         self._begun = {_squeezed(x[:-1]) for x in weights if x.endswith("-")}
-        self._longest = max(map(len, self._words), default=0)
+        self._exact = {x for x in weights if not x.endswith("-")}
+        self._longest = max(map(len, self._exact), default=0)
         self._finder = ahocorasick.Automaton()
         for word in self._words:
             self._finder.add_word(word, word)
@@ -246,7 +247,7 @@ class ToxicityModel:
         return tuple(found)
 
     def _pieces(self, text: str) -> Iterator[tuple[str, float]]:
-        """Words of evidence that neighbouring short pieces are likeliest to be together."""
+        """Words of evidence that neighbouring short pieces spell and are likeliest to be together."""
         if not self._words or next(self._finder.iter(_letters_together(text)), None) is None:
             return
         for run in _PIECES.finditer(text):
@@ -255,10 +256,10 @@ class ToxicityModel:
             for i in range(len(pieces) - 1):
                 joined = bare[i]
                 for j in range(i + 1, len(pieces)):
-                    joined = _squeezed(joined + bare[j])
+                    joined += bare[j]
                     if len(joined) > self._longest:
                         break
-                    if joined in self._words:
+                    if joined in self._exact:
                         for word in self._restorer.words(" ".join(pieces[i : j + 1])):
                             if word in self.weights:
                                 yield word, max(self.weights.get(x, 0.0) for x in features(word))
