@@ -208,10 +208,9 @@ def _squeezed(word: str) -> str:
 
 
 def _letters_together(text: str) -> str:
-    """The text's letters, squeezed, without what may stand between a word's pieces."""
+    """The text's letters without what may stand between a word's pieces."""
     signs = _TOGETHER[np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)]
-    signs = signs[signs > 0]
-    return np.concatenate([signs[:1], signs[1:][signs[1:] != signs[:-1]]]).tobytes().decode()
+    return signs[signs > 0].tobytes().decode()
 
 
 class ToxicityModel:
@@ -226,7 +225,7 @@ class ToxicityModel:
         self._exact = {x for x in weights if not x.endswith("-")}
         self._longest = max(map(len, self._exact), default=0)
         self._finder = ahocorasick.Automaton()
-        for word in self._words:
+        for word in self._exact:
             self._finder.add_word(word, word)
         self._finder.make_automaton()
 
@@ -248,7 +247,7 @@ class ToxicityModel:
 
     def _pieces(self, text: str) -> Iterator[tuple[str, float]]:
         """Words of evidence that neighbouring short pieces spell and are likeliest to be together."""
-        if not self._words or next(self._finder.iter(_letters_together(text)), None) is None:
+        if not self._exact or next(self._finder.iter(_letters_together(text)), None) is None:
             return
         for run in _PIECES.finditer(text):
             pieces = run[0].lower().split()
