@@ -75,3 +75,32 @@ def test_remembered_tokens_give_the_same_words(restorer):
     known = {}
     texts = [*WRITTEN, PLAIN, *WRITTEN]
     assert [restorer.text_words(x, known) for x in texts] == [restorer.text_words(x) for x in texts]
+
+
+def plain_evidence(model, text):
+    """All tokens decoded, and every row of short neighbours of the whole text tried."""
+    plain = " ".join(text.lower().split())
+    found = {}
+    for word in model._restorer.text_words(plain):
+        if weight := max((model.weights.get(x, 0.0) for x in toxicity.features(word)), default=0.0):
+            found[word] = weight
+    found.update(model._pieces(plain))
+    return sum(found.values())
+
+
+def test_places_of_evidence_miss_nothing(restorer):
+    """Texts of noise that is near to evidence give what decoding every token gives."""
+    model = toxicity.ToxicityModel(restorer, WEIGHTS | {"\u00f6del": 2.5, "bigg": 2.25, "\u00f6de-": 2.0, "gall-": 2.125})
+    draw = np.random.default_rng(5)
+    parts = ["stup", "id", "idiot", "io", "t", "m0r0n", "l", "oo", "ser", "8166", "big", "g", "\u00f6del", "\u00d6DELN", "ga1", "l", "|", "b"]
+    joints = ["", "", "", " ", "  ", "\n", "\u00a0", "\u2003", ".", "-", "_", ",", "!", "1", "\u20ac", "?"]
+    evident = 0
+    for _ in range(4000):
+        text = "".join(x for _ in range(draw.integers(1, 9)) for x in (str(draw.choice(parts)), str(draw.choice(joints))))
+        text = " ".join(text) if draw.random() < 0.1 else text
+        text = "".join(x * (1 + (draw.random() < 0.1)) for x in text)
+        found = model.evidence(text)
+        assert found == pytest.approx(plain_evidence(model, text)), text
+        evident += found > 0
+    assert evident > 1000
+    assert toxicity.ToxicityModel(restorer, {}).evidence("stupid") == 0.0

@@ -55,10 +55,16 @@ _SYMBOL = np.zeros(256, dtype=np.int64)
 _SYMBOL[97:123] = np.arange(1, 27)
 _SYMBOL[65:91] = np.arange(1, 27)
 
-# A letter's lower case, nothing for white space and separators, and one sign for all others.
-_TOGETHER = np.full(256, ord("|"), dtype=np.uint8)
-_TOGETHER[97:123] = _TOGETHER[65:91] = np.arange(97, 123)
-_TOGETHER[[*b" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f", *SEPARATORS.encode()]] = 0
+# Letters and signs that may stand for the same letter as one sign of them, nothing for what may be skipped, one sign
+# for all others. Bytes of other characters are their own.
+_SIGN = np.arange(256, dtype=np.uint8)
+_SIGN[:128] = 1
+_SIGN[97:123] = np.arange(97, 123)
+for _sign, _letters in LOOK_ALIKES.items():
+    _SIGN[ord(_sign)] = ord(_letters[0])
+    for _letter in _letters[1:]:
+        _SIGN[_SIGN == ord(_letter)] = ord(_letters[0])
+_SIGN[[32, *SEPARATORS.encode()]] = 0
 
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2,}")
 _HAS_SPACED = re.compile(r"\s\S\s+\S\s")
@@ -189,12 +195,16 @@ class Restorer:
         return found
 
 
+def spaced(text: str) -> list[str]:
+    """Single signs in a row, as they are when a word is spaced out."""
+    if not _HAS_SPACED.search(f" {text} "):
+        return []
+    return [" ".join(m[0].split()) for m in _SPACED.finditer(text)]
+
+
 def tokens(text: str) -> set[str]:
-    """The different tokens of a text; single signs in a row, as they are when a word is spaced out, also as one."""
-    found = set(text.split())
-    if _HAS_SPACED.search(f" {text} "):
-        found.update(" ".join(m[0].split()) for m in _SPACED.finditer(text))
-    return found
+    """The different tokens of a text; single signs in a row also as one."""
+    return {*text.split(), *spaced(text)}
 
 
 def features(word: str) -> list[str]:
@@ -207,10 +217,15 @@ def _squeezed(word: str) -> str:
     return _REPEATED_LETTER.sub(r"\1", word)
 
 
-def _letters_together(text: str) -> str:
-    """The text's letters without what may stand between a word's pieces."""
-    signs = _TOGETHER[np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)]
-    return signs[signs > 0].tobytes().decode()
+def _signs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of equal signs in UTF-8 without what may be skipped: each one's sign, first and last place."""
+    signs = _SIGN[np.frombuffer(data, dtype=np.uint8)]
+    places = np.flatnonzero(signs)
+    signs = signs[places]
+    change = np.flatnonzero(signs[1:] != signs[:-1])
+    starts = np.concatenate([[0], change + 1]) if len(signs) else change
+    ends = np.append(change, len(signs) - 1) if len(signs) else change
+    return signs[starts], places[starts], places[ends]
 
 
 class ToxicityModel:
@@ -225,8 +240,9 @@ class ToxicityModel:
         self._exact = {x for x in weights if not x.endswith("-")}
         self._longest = max(map(len, self._exact), default=0)
         self._finder = ahocorasick.Automaton()
-        for word in self._exact:
-            self._finder.add_word(word, word)
+        for feature in weights:
+            runs = _signs(feature.removesuffix("-").encode())[0].tobytes().decode("latin-1")
+            self._finder.add_word(runs, len(runs))
         self._finder.make_automaton()
 
     def _may_be_evidence(self, word: str) -> bool:
@@ -245,12 +261,27 @@ class ToxicityModel:
                 found.append((word, weight))
         return tuple(found)
 
+    def _places(self, data: bytes) -> Iterator[str]:
+        """The tokens of a text around each place where a reading could be evidence, those that touch it together.
+
+        Every way to write a feature has its runs of signs, whatever stands in between; few places of a text do.
+        """
+        if not self.weights:
+            return
+        signs, firsts, lasts = _signs(data)
+        start = end = -1
+        for at, length in self._finder.iter(signs.tobytes().decode("latin-1")):
+            low, high = int(firsts[at - length + 1]), int(lasts[at])
+            if start <= low and high < end:
+                continue
+            start, end = data.rfind(b" ", 0, low) + 1, data.find(b" ", high)
+            end = end if end >= 0 else len(data)
+            yield data[start:end].decode()
+
     def _pieces(self, text: str) -> Iterator[tuple[str, float]]:
         """Words of evidence that neighbouring short pieces spell and are likeliest to be together."""
-        if not self._exact or next(self._finder.iter(_letters_together(text)), None) is None:
-            return
         for run in _PIECES.finditer(text):
-            pieces = run[0].lower().split()
+            pieces = run[0].split()
             bare = [_NO_LETTERS.sub("", x) for x in pieces]
             for i in range(len(pieces) - 1):
                 joined = bare[i]
@@ -263,20 +294,29 @@ class ToxicityModel:
                             if word in self.weights:
                                 yield word, max(self.weights.get(x, 0.0) for x in features(word))
 
+    def _remembered(self, token: str) -> tuple[tuple[str, float], ...]:
+        found = self._known.get(token)
+        if found is None:
+            found = self._token(token)
+            if len(self._known) >= _MEMO:
+                self._known.clear()
+            if len(token) < 64:
+                self._known[token] = found
+        return found
+
     def evidence(self, text: str) -> float:
-        known, seen = self._known, {}
-        for token in tokens(text):
-            found = known.get(token)
-            if found is None:
-                found = self._token(token)
-                if len(known) >= _MEMO:
-                    known.clear()
-                if len(token) < 64:
-                    known[token] = found
-            if found:
-                seen.update(found)
-        seen.update(self._pieces(text))
-        return sum(seen.values())
+        plain = " ".join(text.lower().split())
+        seen: dict[str, float] = {}
+        near = set(self._places(plain.encode("utf-8", "replace")))
+        for place in near:
+            for token in place.split():
+                seen.update(self._remembered(token))
+            if " " in place:
+                seen.update(self._pieces(place))
+        if near:
+            for span in spaced(plain):
+                seen.update(self._remembered(span))
+        return math.fsum(seen.values())
 
     def score(self, text: str) -> float:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, float(_basis(self.evidence(text)) @ self.beta)))))
