@@ -51,7 +51,7 @@ STAGES = [
     ("tokenise", tokenise),
 ]
 
-# The sketches, the sampling and the token ids are beyond SQL. No plain version of the whole pipeline exists yet; tests run its stages again.
+# The sketches, the sampling and the token ids are beyond SQL; tests hold the rows against a plain version of all stages.
 ORACLE_SQL = None
 
 
