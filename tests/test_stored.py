@@ -168,6 +168,14 @@ def test_readers_see_a_merge_that_is_not_published(spark, folder, monkeypatch):
     assert sorted((r["k"], r["v"]) for r in ranges.read_ranges(spark, path, table).collect()) == sorted(expected.items())
 
 
+def test_ranges_that_lie_apart_do_not_overflow_the_planner(spark):
+    """A thousand intervals that cannot be joined."""
+    target = spark.range(6000).select(F.col("id").alias("key_range"), F.lit("v").alias("v"))
+    touched = ranges._touching(target, spark.range(0, 6000, 3).select(F.col("id").alias("key_range")))
+    assert touched.agg(F.count("*"), F.min("key_range"), F.max("key_range")).first()[:] == (2000, 0, 5997)
+    assert ranges._joined([(7, 9), (0, 2), (3, 3), (5, 5)]) == [(0, 3), (5, 5), (7, 9)]
+
+
 def test_many_touched_ranges_are_pruned_by_few_intervals(spark, folder, monkeypatch):
     monkeypatch.setattr(ranges, "MOST_INTERVALS", 3)
     table, path = spec.TableSpec("pairs", "k", ROW), f"{folder}/pairs"
