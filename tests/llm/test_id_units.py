@@ -68,3 +68,13 @@ def test_rows_of_one_id_are_spread_and_kept(spark):
     sizes = [r["n_tokens"] for r in found]
     assert [r["start"] for r in found] == [sum(sizes[:i]) for i in range(len(sizes))]
     assert files.select("part").distinct().count() > 1
+
+
+def test_a_worker_keeps_what_it_learned_for_its_next_task(spark, stored, monkeypatch):
+    encoder = id_blocks.TokenizerFile(spark, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    learned = []
+    learn = id_blocks._Units._learn
+    monkeypatch.setattr(id_blocks._Units, "_learn", lambda self, units: (learned.append(len(units)), learn(self, units))[1])
+    first = [x.tolist() for x in encoder()(stored[:100])]
+    again = [x.tolist() for x in encoder()(stored[:100])]
+    assert first == again and learned and sum(learned[len(learned) // 2 :]) == 0

@@ -245,6 +245,9 @@ def _checksums(file: IdFile, starts: np.ndarray, ends: np.ndarray) -> list[int]:
     return sums
 
 
+_encoders: dict[tuple, Callable[[list[str]], list[np.ndarray]]] = {}
+
+
 class TokenizerFile:
     """Encode with the tokenizers library and a tokenizer file's content, an end id after each document.
 
@@ -271,6 +274,14 @@ class TokenizerFile:
         self._cuts = bool(plain and parts.get("normalizer") is None)
 
     def __call__(self) -> Callable[[list[str]], list[np.ndarray]]:
+        """The function from texts to ids; a Python worker keeps the last one, and the units it knows, for its next tasks."""
+        key = (self._content.value, self._end, self._added, self._MEMO)
+        if key not in _encoders:
+            _encoders.clear()
+            _encoders[key] = self._encoder()
+        return _encoders[key]
+
+    def _encoder(self) -> Callable[[list[str]], list[np.ndarray]]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
