@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from tidemark import spec
+from tidemark.operators import audit, fingerprints
 from tidemark.operators.fingerprints import differing_keys, differing_ranges, range_fingerprints
 from tidemark.operators.quality import validate
+from tidemark.operators.upsert import key_tally
 from tidemark.plans import jobs
 from tidemark.plans.jobs import Lakehouse
 from tidemark.plans.queries import EVENTS
-from tidemark.sources import checked, footers, ranges, retail
+from tidemark.sources import checked, footers, ranges, retail, snapshots
 from tidemark.sources.raw import batch_inventory, batch_path, raw_exists, write_batch
 from tidemark.sources.shared import exists
 from tidemark.streaming import pickup
@@ -199,3 +201,65 @@ def test_old_versions_are_retired(spark, folder):
     assert [r["v"] for r in spark.read.parquet(f"{house.silver('customers')}/version=000002").collect()] == ["c"]
     with pytest.raises(ValueError, match="current"):
         jobs.retire(spark, house, keep=0)
+
+
+def test_a_merge_decides_by_keys_alone_which_rows_stay(spark, folder, monkeypatch):
+    """Without meeting rows in a join: all keys again, most of them, few of them, null ones and a repeated one."""
+    monkeypatch.setattr(snapshots, "upsert", None)
+    table = spec.TableSpec("pairs", "k", ROW)
+
+    def merged(*values):
+        version = snapshots.merge_snapshot(rows(spark, *values), folder, table)
+        held = snapshots.read_snapshot(spark, folder, table)
+        return version, sorted(((r["k"], r["v"]) for r in held.collect()), key=str)
+
+    first = [(k, "a") for k in range(20)] + [(None, "a")]
+    assert merged(*first) == (0, sorted(first, key=str))
+    expected = {k: "b" for k in range(20)}
+    nulls = [(None, "a"), (None, "b"), (None, "b")]
+    assert merged(*expected.items(), (None, "b"), (None, "b")) == (1, sorted([*expected.items(), *nulls], key=str))
+    for version, keys in ((2, range(3, 25)), (3, [7, 90])):
+        expected |= {k: f"v{version}" for k in keys}
+        assert merged(*[(k, f"v{version}") for k in keys]) == (version, sorted([*expected.items(), *nulls], key=str))
+    for keys in ([*range(30), 4], [4, 4]):
+        with pytest.raises(ValueError, match="repeated k: 4"):
+            merged(*[(k, "z") for k in keys])
+        assert snapshots.current_version(spark, folder) == 3
+    assert merged() == (4, sorted([*expected.items(), *nulls], key=str))
+
+
+def test_merged_keys_are_read_without_their_rows(spark, folder):
+    rows(spark, (1, "a"), (2, "b")).write.parquet(f"{folder}/old")
+    old = spark.read.parquet(f"{folder}/old")
+    tally = key_tally(old.filter("k = 1"), old, "k")
+    assert plan(tally).count("ReadSchema: struct<k:bigint>") == 2
+    assert sorted(map(tuple, tally.collect())) == [(1, 1), (2, 0)]
+
+
+def test_rows_are_compared_only_where_the_buckets_differ(spark, monkeypatch):
+    looked = []
+    exact = audit.differing_rows
+    monkeypatch.setattr(audit, "differing_rows", lambda one, other: looked.append(one.count() + other.count()) or exact(one, other))
+    values = [(i % 900, str(i % 7)) for i in range(3000)] + [(None, None)]
+    one, other = rows(spark, *values).repartition(5), rows(spark, *reversed(values))
+    names = ("first_rows", "second_rows", "rows_differing", "identical")
+    assert audit.compare({"t": one}, {"t": other}).select(*names).first()[:] == (3001, 3001, 0, True)
+    assert looked == []
+    changed = other.filter("k <> 5 OR k IS NULL").unionByName(rows(spark, (2000, "x")))
+    lost = one.filter("k = 5").count()
+    found = audit.compare({"t": one}, {"t": changed}).select(*names).first()
+    assert found[:] == (3001, 3002 - lost, lost + 1, False) and 0 < looked[0] < 300
+
+
+def test_nested_rows_are_compared_themselves(spark):
+    ddl = "k long, s struct<a: string, b: string>"
+    one, other = (spark.createDataFrame([(1, s)], ddl) for s in (("x", None), (None, "x")))
+    found = audit.compare({"t": one}, {"t": other}).first()
+    assert (found["first_rows"], found["second_rows"], found["rows_differing"]) == (1, 1, 2)
+
+
+def test_ranges_that_are_the_same_are_only_counted(spark, monkeypatch):
+    same = rows(spark, *[(i % 400, str(i)) for i in range(1000)], (None, "n"))
+    monkeypatch.setattr(fingerprints, "range_fingerprints", None)
+    found = differing_ranges(same, same.repartition(3), "k", 10)
+    assert found.filter("same").agg(F.count("*"), F.sum("first_rows"), F.sum("second_rows")).first()[:] == (41, 1001, 1001)
