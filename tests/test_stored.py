@@ -15,7 +15,7 @@ from tidemark.operators.upsert import key_tally
 from tidemark.plans import jobs
 from tidemark.plans.jobs import Lakehouse
 from tidemark.plans.queries import EVENTS
-from tidemark.sources import checked, footers, ranges, retail, snapshots
+from tidemark.sources import checked, footers, ranges, raw, retail, snapshots
 from tidemark.sources.raw import batch_inventory, batch_path, raw_exists, write_batch
 from tidemark.sources.shared import exists
 from tidemark.streaming import pickup
@@ -263,3 +263,46 @@ def test_ranges_that_are_the_same_are_only_counted(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "range_fingerprints", None)
     found = differing_ranges(same, same.repartition(3), "k", 10)
     assert found.filter("same").agg(F.count("*"), F.sum("first_rows"), F.sum("second_rows")).first()[:] == (41, 1001, 1001)
+
+
+def test_keys_that_stay_the_same_are_not_tallied(spark, folder, monkeypatch):
+    """Keys in equal buckets are left out of the tally; null keys never are."""
+    table, tallied = spec.TableSpec("pairs", "k", ROW), []
+    tally = snapshots.key_tally
+    monkeypatch.setattr(snapshots, "key_tally", lambda *sides: tallied.append([s and s.count() for s in sides[:2]]) or tally(*sides))
+    snapshots.merge_snapshot(rows(spark, *[(k, "a") for k in range(5000)]), folder, table)
+    snapshots.merge_snapshot(rows(spark, *[(k, "b") for k in range(5000)]), folder, table)
+    assert tallied.pop() == [0, 0]
+    snapshots.merge_snapshot(rows(spark, *[(k, "c") for k in range(1, 5001)], (None, "c")), folder, table)
+    offered, held = tallied.pop()
+    assert 1 < offered < 50 and 1 <= held < 50
+    snapshots.merge_snapshot(rows(spark, (None, "d"), *[(k, "d") for k in range(5001)]), folder, table)
+    stored = snapshots.read_snapshot(spark, folder, table)
+    assert {r[0]: r[1] for r in stored.groupBy("v").count().collect()} == {"c": 1, "d": 5002}
+    assert stored.filter("k IS NULL").count() == 2
+
+
+def test_stored_files_are_compressed_well(spark, folder):
+    """Smaller by a quarter at least than the default codec leaves them."""
+    wide = spark.range(200_000).select(F.col("id").alias("k"), F.md5(F.pmod("id", F.lit(900)).cast("string")).alias("v"), F.lit(None).cast("timestamp_ntz").alias("at"))
+    wide.write.parquet(f"{folder}/plain")
+    snapshots.merge_snapshot(wide, f"{folder}/pairs", spec.TableSpec("pairs", "k", ROW))
+    size = {p: raw.file_inventory(spark, f"{folder}/{p}").first()["bytes"] for p in ("plain", "pairs")}
+    assert size["pairs"] < 0.75 * size["plain"]
+
+
+@pytest.mark.parametrize("key", ["key", "bucket", "offered", "staying"])
+def test_columns_may_have_the_names_used_inside(spark, folder, key):
+    names = ["key", "bucket", "offered", "staying", "key_range"]
+    table = spec.TableSpec("named", key, ", ".join(f"{n} BIGINT" for n in names))
+
+    def numbered(first, last, value):
+        return spark.range(first, last).select(*[(F.col("id") if n == key else F.lit(value)).cast("long").alias(n) for n in names])
+
+    for first, last, value in ((0, 40, 1), (1, 41, 2), (50, 52, 3)):
+        snapshots.merge_snapshot(numbered(first, last, value), folder, table)
+    merged = numbered(0, 1, 1).unionByName(numbered(1, 41, 2)).unionByName(numbered(50, 52, 3))
+    stored = snapshots.read_snapshot(spark, folder, table)
+    assert audit.compare({"t": merged}, {"t": stored}).first()["identical"]
+    assert audit.compare({"t": merged}, {"t": stored.filter(f"{key} > 3")}).first()["rows_differing"] == 4
+    assert differing_ranges(merged, stored.filter(f"{key} <> 3"), key, 10).filter("NOT same").count() == 1
