@@ -1,7 +1,9 @@
 """Stored layers: checked rows, footers, fingerprints, batches decided by their write, the stream's state, MERGE."""
 
+import shutil
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,6 +172,51 @@ def test_readers_see_a_merge_that_is_not_published(spark, folder, monkeypatch):
     assert sorted((r["k"], r["v"]) for r in ranges.read_ranges(spark, path, table).collect()) == sorted(expected.items())
 
 
+def test_many_ranges_are_listed_by_few_tasks(spark, folder):
+    """A task for each folder, kept by the driver, is too much where ranges are many; nor are listings kept."""
+    table, path = spec.TableSpec("pairs", "k", ROW), f"{folder}/pairs"
+    ranges.merge_ranges(rows(spark, *[(k, "a") for k in range(150)]), path, table, span=1)
+    keys = ["spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.hive.filesourcePartitionFileCacheSize"]
+    before, tracker = [spark.conf.get(k) for k in keys], spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        stored = ranges.read_ranges(spark, path, table)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert [s.numTasks for s in stages] == [100] and stored.count() == 150
+    assert [spark.conf.get(k) for k in keys] == before
+
+
+def test_only_the_named_tables_are_read(spark, folder, monkeypatch):
+    """Reading a stored table lists its files, so those that are not needed are left alone."""
+    read = []
+    monkeypatch.setattr(jobs, "read_table", lambda spark, house, path, table: read.append(table.name))
+    assert list(jobs.gold_tables(spark, Lakehouse(folder), "dim_customer")) == read == ["dim_customer"]
+    jobs.gold_tables(spark, Lakehouse(folder))
+    assert read[1:] == list(spec.GOLD_TABLES)
+
+
+def test_staged_ranges_are_moved_into_the_table(spark, folder, monkeypatch):
+    """No range is written twice, and one that died on the way is read and then completed."""
+    table, path, publish = spec.TableSpec("pairs", "k", ROW), f"{folder}/pairs", ranges._publish
+    files = lambda at: {f"{f.parent.name}/{f.name}" for f in Path(at).glob("key_range=*/*.parquet")}
+    ranges.merge_ranges(rows(spark, *[(k, "a") for k in range(40)]), path, table, span=10)
+    untouched, staged = files(path), set()
+    monkeypatch.setattr(ranges, "_publish", lambda *_: staged.update(files(f"{path}.staged")))
+    ranges.merge_ranges(rows(spark, (5, "b"), (15, "b"), (75, "b")), path, table, span=10)
+    shutil.rmtree(f"{path}/key_range=1")  # half-way: one range is moved, one taken away and not yet replaced
+    shutil.rmtree(f"{path}/key_range=0")
+    shutil.move(f"{path}.staged/key_range=0", f"{path}/key_range=0")
+    expected = {k: "a" for k in range(40)} | {5: "b", 15: "b", 75: "b"}
+    for _ in range(2):
+        assert {r["k"]: r["v"] for r in ranges.read_ranges(spark, path, table).collect()} == expected
+        monkeypatch.setattr(ranges, "_publish", publish)
+        ranges.merge_ranges(rows(spark), path, table, span=10)
+    untouched = {f for f in untouched if not f.startswith(("key_range=0/", "key_range=1/"))}
+    assert files(path) == untouched | staged and not exists(spark, f"{path}.staged")
+
+
 def test_ranges_that_lie_apart_do_not_overflow_the_planner(spark):
     """A thousand intervals that cannot be joined."""
     target = spark.range(6000).select(F.col("id").alias("key_range"), F.lit("v").alias("v"))
